@@ -21,45 +21,41 @@ def field(doc: Column, path: str, kind: str = "string") -> Column:
     return F.try_variant_get(doc, f"$.{path}", kind)
 
 
-def canonical_json(raw: Column) -> Column:
-    """The line with sorted keys and no spacing; NULL when it is not JSON."""
-    return F.to_json(variant_of(raw))
-
-
 def event_hash(canonical: Column) -> Column:
     return F.sha2(canonical, 256)
 
 
-def reject_reason(raw: Column, canonical: Column) -> Column:
-    """Why a raw line cannot become an event; NULL for a good line."""
-    doc = variant_of(raw)
-    return (
-        F.when(F.trim(raw) == "", "blank_line")
-        .when(canonical.isNull(), "malformed_json")
-        .when(field(doc, "event_type").isNull(), "missing_event_type")
-        .when(event_time(field(doc, "timestamp")).isNull(), "bad_timestamp")
-        .when(field(doc, "user_id").isNull(), "missing_user")
-    )
-
-
 def key_lines(lines: DataFrame) -> DataFrame:
-    """Raw lines plus canonical text, content hash, event date and reject reason.
+    """Raw lines plus content hash, event date and reject reason.
 
-    Input has a ``value`` column.  ``raw`` is the canonical JSON of a readable
-    line, which makes it a function of the hash, and the original text of an
-    unreadable one.
+    Input has a ``value`` column.  ``raw`` is the canonical JSON (sorted keys,
+    no spacing) of a readable line, which makes it a function of the hash, and
+    the original text of an unreadable one.  The parsed document is a column
+    of its own, so each line is parsed once.
     """
     rest = [c for c in lines.columns if c != "value"]
-    keyed = lines.withColumn("canonical", canonical_json(F.col("value")))
-    reason = reject_reason(F.col("value"), F.col("canonical"))
-    keyed = keyed.withColumn("reject_reason", reason)
-    good = F.col("reject_reason").isNull()
-    stamp = event_time(field(variant_of(F.col("value")), "timestamp"))
-    return keyed.select(
+    doc = F.col("doc")
+    parsed = lines.withColumn("doc", variant_of(F.col("value"))).select(
+        "value",
+        *rest,
+        F.to_json(doc).alias("canonical"),
+        field(doc, "event_type").alias("event_type"),
+        event_time(field(doc, "timestamp")).alias("stamp"),
+        field(doc, "user_id").alias("user_id"),
+    )
+    reason = (
+        F.when(F.trim("value") == "", "blank_line")
+        .when(F.col("canonical").isNull(), "malformed_json")
+        .when(F.col("event_type").isNull(), "missing_event_type")
+        .when(F.col("stamp").isNull(), "bad_timestamp")
+        .when(F.col("user_id").isNull(), "missing_user")
+    )
+    good = F.col("event_type").isNotNull() & F.col("user_id").isNotNull()
+    return parsed.select(
         F.coalesce("canonical", "value").alias("raw"),
         event_hash(F.col("canonical")).alias("event_hash"),
-        F.when(good, F.to_date(stamp)).alias("event_date"),
-        "reject_reason",
+        F.when(good, F.to_date("stamp")).alias("event_date"),
+        reason.alias("reject_reason"),
         *rest,
     )
 
@@ -86,12 +82,8 @@ def with_defaults(events: DataFrame) -> DataFrame:
     )
 
 
-def clean(raw: DataFrame) -> DataFrame:
-    """Typed events of a keyed raw frame (``raw``, ``event_hash``).
-
-    Lines without a readable type, time or user are left out; the caller
-    quarantines them through :func:`split_bad`.
-    """
+def typed_events(raw: DataFrame) -> DataFrame:
+    """Typed and defaulted columns of keyed lines (``raw``, ``event_hash``)."""
     doc = F.col("doc")
     flags = {
         "is_skill": "categories.skill",
@@ -119,13 +111,20 @@ def clean(raw: DataFrame) -> DataFrame:
         field(doc, "stop_reason").alias("stop_reason"),
         F.col("raw").alias("raw_data"),
     )
-    typed = has_type(typed).filter(
-        F.col("event_timestamp").isNotNull() & F.col("user_id").isNotNull()
-    )
     typed = with_defaults(typed).withColumn("event_date", F.to_date("event_timestamp"))
     return typed.select(*CLEAN_COLUMNS)
 
 
+def clean(raw: DataFrame) -> DataFrame:
+    """Typed events of keyed lines, without those lacking type, time or user.
+
+    Lines that passed :func:`split_bad` need only :func:`typed_events`.
+    """
+    return has_type(typed_events(raw)).filter(
+        F.col("event_timestamp").isNotNull() & F.col("user_id").isNotNull()
+    )
+
+
 def remap_users(events: DataFrame, mapping: dict[str, str] | DataFrame) -> DataFrame:
     """Replace user ids.
 

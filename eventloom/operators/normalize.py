@@ -36,9 +36,8 @@ def classify_tool(df: DataFrame, name_col: str, input_col: str) -> DataFrame:
 def stop_reason(transcripts: DataFrame, lines: int = TRANSCRIPT_TAIL_LINES,
                 phrases: Iterable[str] = LIMIT_PHRASES) -> DataFrame:
     """Stop reason per whole transcript (path, value)."""
-    return transcripts.select(
-        "path", stop_reason_of(last_lines(F.col("value"), lines), phrases).alias("stop_reason")
-    )
+    tails = transcripts.select("path", last_lines(F.col("value"), lines).alias("tail"))
+    return tails.select("path", stop_reason_of(F.col("tail"), phrases).alias("stop_reason"))
 
 
 def stop_reason_by_line(lines: DataFrame, key: str, order: Sequence[str], text: str,
@@ -60,8 +59,8 @@ def stop_reason_by_line(lines: DataFrame, key: str, order: Sequence[str], text:
                                                   F.coalesce(text, F.lit("")).alias("line"))))
              .alias("tail"))
     )
-    joined = F.array_join(F.col("tail.line"), " ")
-    return last.select(key, stop_reason_of(joined, phrases).alias("stop_reason"))
+    joined = last.select(key, F.array_join(F.col("tail.line"), " ").alias("tail"))
+    return joined.select(key, stop_reason_of(F.col("tail"), phrases).alias("stop_reason"))
 
 
 # --- payloads ---------------------------------------------------------------

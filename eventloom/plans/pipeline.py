@@ -18,7 +18,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventloom.operators.clean import clean, key_lines, split_bad
+from eventloom.operators.clean import key_lines, split_bad, typed_events
 from eventloom.operators.marts import marts_from_base, usage_base
 from eventloom.schema import (
     DAILY_SCHEMA,
@@ -112,7 +112,7 @@ def load_lines(lines: DataFrame, warehouse: Warehouse, load_id: str) -> None:
     if touched is None:
         return
     known = warehouse.events(spark).filter(touched)
-    write_events(clean(insert_new(known, good)), warehouse.events_path)
+    write_events(typed_events(insert_new(known, good)), warehouse.events_path)
     refresh_marts(warehouse.events(spark).filter(touched), warehouse)
 
 
