@@ -34,7 +34,7 @@ def read_raw_stream(spark: SparkSession, path: str, glob: str | None = None,
 def read_transcripts(spark: SparkSession, path: str) -> DataFrame:
     """Whole transcript files as (path, value)."""
     return (
-        spark.read.option("wholetext", "true").option("recursiveFileLookup", "true").text(path)
+        spark.read.text(path, wholetext=True, recursiveFileLookup=True)
         .select(F.col("_metadata.file_path").alias("path"), "value")
     )
 
@@ -67,7 +67,10 @@ def with_provenance(df: DataFrame, path_col: str = "source_file") -> DataFrame:
 
 
 def list_files(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
-    """Files below a folder with their size; no content is read."""
+    """Files below a folder with their size; no content is read.
+
+    Spark's file scans pass over zero-byte files, so those are not listed.
+    """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
