@@ -11,14 +11,43 @@ from eventloom.schema import DEFAULT_TEAM, EVENTS_SCHEMA, FLAGS, MART_COUNTERS
 
 CLEAN_COLUMNS = tuple(EVENTS_SCHEMA.fieldNames())
 
+# Every field is read as text and cast afterwards, so one value of the wrong
+# kind becomes NULL and leaves the rest of its event alone.
+_HEAD = "event_type STRING, timestamp STRING, user_id STRING"
+_EVENT = (
+    f"{_HEAD}, team_id STRING, session_id STRING, project STRING, tool_name STRING,"
+    " success STRING, output_length STRING, error STRING, prompt_length STRING,"
+    " is_usage_limit STRING, stop_reason STRING, categories STRUCT<skill: STRING,"
+    " subagent: STRING, mcp: STRING, command: STRING, file_operation: STRING>"
+)
+
+
+def document_of(value: Column) -> Column:
+    """The line as a one-element JSON list; NULL when it is not JSON.
+
+    Inside brackets a second document or stray text after the first is an
+    error or a second element, which a plain parse would pass over.
+    """
+    return F.try_parse_json(F.concat(F.lit("["), value, F.lit("]")))
 
-def variant_of(raw: Column) -> Column:
-    return F.try_parse_json(raw)
 
+def with_canonical(lines: DataFrame) -> DataFrame:
+    """Lines plus ``canonical``: the document with sorted keys and no spacing.
 
-def field(doc: Column, path: str, kind: str = "string") -> Column:
-    """A nested value cast to ``kind``; NULL when absent or not castable."""
-    return F.try_variant_get(doc, f"$.{path}", kind)
+    NULL unless ``value`` is exactly one document.  The list and its text are
+    columns of their own so that neither is computed twice.
+    """
+    listed = lines.withColumn("doc", document_of(F.col("value"))).select(
+        *lines.columns,
+        F.to_json("doc").alias("listed"),
+        F.try_variant_get("doc", "$[1]", "variant").isNull().alias("single"),
+    )
+    text = F.col("listed")
+    one = F.col("single") & (F.length(text) > 2)
+    return listed.select(
+        *lines.columns,
+        F.when(one, F.substring(text, F.lit(2), F.length(text) - 2)).alias("canonical"),
+    )
 
 
 def event_hash(canonical: Column) -> Column:
@@ -28,20 +57,17 @@ def event_hash(canonical: Column) -> Column:
 def key_lines(lines: DataFrame) -> DataFrame:
     """Raw lines plus content hash, event date and reject reason.
 
-    Input has a ``value`` column.  ``raw`` is the canonical JSON (sorted keys,
-    no spacing) of a readable line, which makes it a function of the hash, and
-    the original text of an unreadable one.  The parsed document is a column
-    of its own, so each line is parsed once.
+    Input has a ``value`` column.  ``raw`` is the canonical JSON of a readable
+    line, which makes it a function of the hash, and the original text of an
+    unreadable one.  Parsed forms are columns of their own, so each is
+    computed once per line.
     """
     rest = [c for c in lines.columns if c != "value"]
-    doc = F.col("doc")
-    parsed = lines.withColumn("doc", variant_of(F.col("value"))).select(
-        "value",
-        *rest,
-        F.to_json(doc).alias("canonical"),
-        field(doc, "event_type").alias("event_type"),
-        event_time(field(doc, "timestamp")).alias("stamp"),
-        field(doc, "user_id").alias("user_id"),
+    parsed = (
+        with_canonical(lines)
+        .withColumn("head", F.from_json("canonical", _HEAD))
+        .select("value", *rest, "canonical", "head.event_type", "head.user_id",
+                event_time(F.col("head.timestamp")).alias("stamp"))
     )
     reason = (
         F.when(F.trim("value") == "", "blank_line")
@@ -84,31 +110,31 @@ def with_defaults(events: DataFrame) -> DataFrame:
 
 def typed_events(raw: DataFrame) -> DataFrame:
     """Typed and defaulted columns of keyed lines (``raw``, ``event_hash``)."""
-    doc = F.col("doc")
-    flags = {
-        "is_skill": "categories.skill",
-        "is_subagent": "categories.subagent",
-        "is_mcp": "categories.mcp",
-        "is_command": "categories.command",
-        "is_file_operation": "categories.file_operation",
-        "is_usage_limit": "is_usage_limit",
-    }
-    typed = raw.withColumn("doc", variant_of(F.col("raw"))).select(
+
+    def cast(path: str, kind: str, name: str) -> Column:
+        return F.col(f"doc.{path}").try_cast(kind).alias(name)
+
+    typed = raw.withColumn("doc", F.from_json("raw", _EVENT)).select(
         "event_hash",
-        field(doc, "event_type").alias("event_type"),
-        event_time(field(doc, "timestamp")).alias("event_timestamp"),
+        "doc.event_type",
+        event_time(F.col("doc.timestamp")).alias("event_timestamp"),
         F.current_timestamp().alias("received_at"),
-        field(doc, "user_id").alias("user_id"),
-        field(doc, "team_id").alias("team_id"),
-        field(doc, "session_id").alias("session_id"),
-        field(doc, "project").alias("project_name"),
-        field(doc, "tool_name").alias("tool_name"),
-        field(doc, "success", "boolean").alias("tool_success"),
-        field(doc, "output_length", "bigint").alias("output_length"),
-        field(doc, "error").alias("error_message"),
-        field(doc, "prompt_length", "bigint").alias("prompt_length"),
-        *[field(doc, path, "boolean").alias(name) for name, path in flags.items()],
-        field(doc, "stop_reason").alias("stop_reason"),
+        "doc.user_id",
+        "doc.team_id",
+        "doc.session_id",
+        F.col("doc.project").alias("project_name"),
+        "doc.tool_name",
+        cast("success", "boolean", "tool_success"),
+        cast("output_length", "bigint", "output_length"),
+        F.col("doc.error").alias("error_message"),
+        cast("prompt_length", "bigint", "prompt_length"),
+        cast("categories.skill", "boolean", "is_skill"),
+        cast("categories.subagent", "boolean", "is_subagent"),
+        cast("categories.mcp", "boolean", "is_mcp"),
+        cast("categories.command", "boolean", "is_command"),
+        cast("categories.file_operation", "boolean", "is_file_operation"),
+        cast("is_usage_limit", "boolean", "is_usage_limit"),
+        "doc.stop_reason",
         F.col("raw").alias("raw_data"),
     )
     typed = with_defaults(typed).withColumn("event_date", F.to_date("event_timestamp"))

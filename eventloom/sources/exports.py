@@ -5,9 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventloom.operators.clean import field, variant_of
+from eventloom.operators.clean import with_canonical
 from eventloom.sources.tables import clustered
 
+_FLAT_TEXT = (
+    "timestamp", "event_type", "user_id", "team_id", "project", "session_id", "tool_name", "success",
+)
+_FLAT = ", ".join(
+    [*[f"{name}: STRING" for name in _FLAT_TEXT],
+     "categories: STRUCT<mcp: STRING, subagent: STRING, command: STRING>"]
+)
+
 
 def write_jsonl_by_day(df: DataFrame, path: str, day: str = "event_date") -> None:
     """Append JSON lines to one folder per day."""
@@ -15,8 +23,8 @@ def write_jsonl_by_day(df: DataFrame, path: str, day: str = "event_date") -> Non
 
 
 def valid_lines(raw: DataFrame) -> DataFrame:
-    """Readable JSON lines (``value``), unreadable ones left out."""
-    return raw.select("value").filter(variant_of(F.col("value")).isNotNull())
+    """Lines (``value``) that hold exactly one JSON document."""
+    return with_canonical(raw.select("value")).filter("canonical IS NOT NULL").select("value")
 
 
 def export_json(raw: DataFrame, path: str) -> None:
@@ -25,25 +33,30 @@ def export_json(raw: DataFrame, path: str) -> None:
 
 
 def export_flat(raw: DataFrame, *carry: str) -> DataFrame:
-    """Eleven flat columns per readable event; blanks for missing values."""
-    doc = F.col("doc")
-
-    def text(path: str):
-        return F.coalesce(field(doc, path), F.lit(""))
+    """Eleven flat columns per readable event; blanks for missing values.
+
+    Each line is read once as a one-element list, and a generator turns the
+    list into a row or, for an unreadable line, into none.
+    """
+    listed = F.from_json(
+        F.concat(F.lit("["), F.col("value"), F.lit("]")), f"ARRAY<STRUCT<{_FLAT}>>",
+        {"allowSingleQuotes": "false"},
+    )
+    docs = F.col("docs")
+    readable = (F.size(docs) == 1) & F.get(docs, F.lit(0)).isNotNull()
+    rows = (
+        raw.select(*carry, listed.alias("docs"))
+        .select(*carry, F.inline(F.when(readable, docs)))
+    )
 
     def flag(name: str):
-        return F.coalesce(field(doc, f"categories.{name}", "boolean"), F.lit(False))
+        value = F.col(f"categories.{name}").try_cast("boolean")
+        return F.coalesce(value, F.lit(False)).alias(f"is_{name}")
 
-    parsed = raw.withColumn("doc", variant_of(F.col("value"))).filter(doc.isNotNull())
-    return parsed.select(
+    return rows.select(
         *carry,
-        *[text(name).alias(name) for name in (
-            "timestamp", "event_type", "user_id", "team_id", "project", "session_id", "tool_name",
-            "success",
-        )],
-        flag("mcp").alias("is_mcp"),
-        flag("subagent").alias("is_subagent"),
-        flag("command").alias("is_command"),
+        *[F.coalesce(name, F.lit("")).alias(name) for name in _FLAT_TEXT],
+        flag("mcp"), flag("subagent"), flag("command"),
     )
 
 

@@ -17,15 +17,17 @@ def test_reject_reasons(spark):
         spark, GOOD, "", "   ", '{"event_type":"Stop"', {**GOOD, "event_type": None},
         {k: v for k, v in GOOD.items() if k != "event_type"}, {**GOOD, "timestamp": "soon"},
         {k: v for k, v in GOOD.items() if k != "timestamp"}, {**GOOD, "user_id": None}, "[1]", "12",
+        json.dumps(GOOD) * 2, json.dumps(GOOD) + "," + json.dumps(GOOD), json.dumps(GOOD) + " x", "null",
     )
     got = {r.i: r.reject_reason for r in df.collect()}
     assert got == {
         0: None, 1: "blank_line", 2: "blank_line", 3: "malformed_json", 4: "missing_event_type",
         5: "missing_event_type", 6: "bad_timestamp", 7: "bad_timestamp", 8: "missing_user",
-        9: "missing_event_type", 10: "missing_event_type",
+        9: "missing_event_type", 10: "missing_event_type", 11: "malformed_json",
+        12: "malformed_json", 13: "malformed_json", 14: "missing_event_type",
     }
     good, bad = C.split_bad(df)
-    assert good.count() == 1 and bad.count() == 10
+    assert good.count() == 1 and bad.count() == 14
     # Only good lines carry a date; unreadable ones keep their text.
     assert {r.i for r in df.filter("event_date IS NOT NULL").collect()} == {0}
     assert df.filter("i = 3").first().raw == '{"event_type":"Stop"'
@@ -58,6 +60,13 @@ def test_clean_drops_incomplete_lines(spark):
     assert C.clean(df).count() == 1
 
 
+def test_odd_values_do_not_spoil_an_event(spark):
+    line = {**GOOD, "categories": "none", "success": {"a": 1}, "output_length": 12.0, "error": {"code": 1}}
+    row = C.clean(keyed(spark, line)).first()
+    assert row.event_type == "Stop" and row.is_mcp is False and row.tool_success is None
+    assert row.output_length == 12 and row.error_message == '{"code":1}'
+
+
 def test_null_categories_count_as_false(spark):
     row = C.clean(keyed(spark, {**GOOD, "categories": None})).first()
     assert (row.is_skill, row.is_mcp, row.is_file_operation) == (False, False, False)

@@ -62,7 +62,8 @@ LINES = [
     json.dumps({"timestamp": "t", "event_type": "PostToolUse", "user_id": "u", "team_id": "x", "project": "p,q",
                 "session_id": "s", "tool_name": "Bash", "success": True, "categories": {"command": True}}),
     json.dumps({"event_type": "Stop", "success": None, "categories": None}),
-    "{broken",
+    "{broken", "", "12", "null", "{'event_type':'x'}", '{"event_type":"a"}{"event_type":"b"}',
+    '{"event_type":"a"},{"event_type":"b"}', '{"event_type":"a"} tail',
 ]
 
 
@@ -84,7 +85,7 @@ def test_csv_export(spark, tmp_path):
 
 def test_json_export_keeps_readable_lines(spark, tmp_path):
     exports.export_json(raw(spark), str(tmp_path / "json"))
-    assert sorted(r.value for r in spark.read.text(str(tmp_path / "json")).collect()) == sorted(LINES[:2])
+    assert sorted(r.value for r in spark.read.text(str(tmp_path / "json")).collect()) == sorted([*LINES[:2], "12", "null"])
 
 
 def test_jsonl_by_day_appends(spark, tmp_path):
@@ -102,3 +103,19 @@ def test_scratch_folder_follows_the_session(spark):
     assert scratch_root(spark) == root.rstrip("/")
     a, b = fresh_folder(spark, "x"), fresh_folder(spark, "x")
     assert a != b and a.startswith(root)
+
+
+def test_scratch_folder_without_a_setting():
+    from types import SimpleNamespace
+
+    import pytest
+
+    def session(master):
+        return SimpleNamespace(
+            conf=SimpleNamespace(get=lambda key, default: default),
+            sparkContext=SimpleNamespace(master=master),
+        )
+
+    assert scratch_root(session("local[2]")) == scratch_root(session("local[8]"))
+    with pytest.raises(RuntimeError):
+        scratch_root(session("spark://host:7077"))
