@@ -22,7 +22,7 @@ from eventloom.operators import marts as A
 from eventloom.operators import normalize as N
 from eventloom.operators import service_stats as C
 from eventloom.operators import views as V
-from eventloom.plans.ingest_cases import _Case, _lines
+from eventloom.plans.ingest_cases import LoadCase, event_lines
 from eventloom.plans.pipeline import rebuild_marts
 from eventloom.sources import testdata as td
 from eventloom.sources.exports import export_flat
@@ -44,19 +44,19 @@ def timed(action, runs: int) -> float:
     return round(statistics.median(laps), 4)
 
 
-def load(spark: SparkSession, sf: str) -> tuple[dict[str, float], _Case]:
+def load(spark: SparkSession, sf: str) -> tuple[dict[str, float], LoadCase]:
     """First load, a small second load over known dates, and a full rebuild."""
     times: dict[str, float] = {}
-    case = _Case(spark, "bench")
+    case = LoadCase(spark, "bench")
 
     def lap(name: str, action) -> None:
         start = time.perf_counter()
         action()
         times[name] = round(time.perf_counter() - start, 4)
 
-    case.deliver(_lines(spark, sf, "event_date < date'2024-01-30'"))
+    case.deliver(event_lines(spark, sf, "event_date < date'2024-01-30'"))
     lap("ingest_first_load", case.run)
-    case.deliver(_lines(spark, sf, "event_date >= date'2024-01-30'"))
+    case.deliver(event_lines(spark, sf, "event_date >= date'2024-01-30'"))
     lap("ingest_upsert", case.run)
     lap("ingest_full_rebuild", lambda: rebuild_marts(spark, case.warehouse))
     return times, case
@@ -69,7 +69,7 @@ def stored(spark: SparkSession, df: DataFrame, name: str, tasks: int) -> DataFra
     return read_table(spark, path, df.schema)
 
 
-def actions(spark: SparkSession, sf: str, case: _Case, tasks: int) -> dict[str, DataFrame]:
+def actions(spark: SparkSession, sf: str, case: LoadCase, tasks: int) -> dict[str, DataFrame]:
     """Operators over the stored warehouse and the stored raw inputs."""
     at = (td.TEAM, td.DAYS, td.AS_OF)
     house = case.warehouse
@@ -79,7 +79,7 @@ def actions(spark: SparkSession, sf: str, case: _Case, tasks: int) -> dict[str,
     hooks = stored(spark, td.hook_records(spark, sf), "hooks", tasks)
     texts = stored(spark, td.transcript_texts(spark, sf), "texts", tasks)
     turns = stored(spark, td.transcript_turns(spark, sf), "turns", tasks)
-    lines = stored(spark, _lines(spark, sf).select("value"), "lines", tasks)
+    lines = stored(spark, event_lines(spark, sf).select("value"), "lines", tasks)
     return {
         "daily_summary": A.daily_summary(events),
         "user_summary": A.user_summary(events),

@@ -26,7 +26,7 @@ DEFECTS = {
 }
 
 
-class _Case:
+class LoadCase:
     """A source folder, a warehouse and a checkpoint below one new folder."""
 
     def __init__(self, spark: SparkSession, name: str):
@@ -54,15 +54,15 @@ class _Case:
         return self.warehouse.mart(self.spark, name).drop("updated_at")
 
 
-def _lines(spark: SparkSession, sf: str, where: str = "true", reverse_keys: bool = False) -> DataFrame:
+def event_lines(spark: SparkSession, sf: str, where: str = "true", reverse_keys: bool = False) -> DataFrame:
     events = testdata.usage_events(spark, sf).filter(where)
     return testdata.jsonl_lines(events, reverse_keys)
 
 
 def ingest_clean(spark: SparkSession, sf: str) -> DataFrame:
     """Every event through files, stream and cleaning, back to its row."""
-    case = _Case(spark, "clean")
-    case.deliver(_lines(spark, sf))
+    case = LoadCase(spark, "clean")
+    case.deliver(event_lines(spark, sf))
     case.run()
     return case.events()
 
@@ -86,8 +86,8 @@ def _spoil(value: Column) -> Column:
 
 def ingest_quarantine(spark: SparkSession, sf: str) -> DataFrame:
     """Lines per reject reason after loading spoiled files; good ones count too."""
-    case = _Case(spark, "quarantine")
-    case.deliver(_lines(spark, sf).withColumn("value", _spoil(F.col("value"))))
+    case = LoadCase(spark, "quarantine")
+    case.deliver(event_lines(spark, sf).withColumn("value", _spoil(F.col("value"))))
     case.run()
     bad = case.warehouse.quarantine(spark).groupBy("reject_reason").agg(
         F.count(F.lit(1)).alias("line_count")
@@ -100,50 +100,50 @@ def ingest_quarantine(spark: SparkSession, sf: str) -> DataFrame:
 
 def ingest_dedup(spark: SparkSession, sf: str) -> DataFrame:
     """Copies in one file, in another file, with other key order, in a later load."""
-    case = _Case(spark, "dedup")
-    case.deliver(_lines(spark, sf))
-    case.deliver(_lines(spark, sf, "event_id % 3 = 0", reverse_keys=True))
+    case = LoadCase(spark, "dedup")
+    case.deliver(event_lines(spark, sf))
+    case.deliver(event_lines(spark, sf, reverse_keys=True))
     case.run()
-    case.deliver(_lines(spark, sf, "event_id % 5 = 0"))
+    case.deliver(event_lines(spark, sf))
     case.run()
     return case.events()
 
 
 def ingest_forced_reload(spark: SparkSession, sf: str) -> DataFrame:
     """Layer sizes after a load and a forced reload of the same files."""
-    case = _Case(spark, "reload")
-    case.deliver(_lines(spark, sf))
+    case = LoadCase(spark, "reload")
+    case.deliver(event_lines(spark, sf))
     case.run()
     ingest_batch(spark, case.source, case.warehouse)
     return layer_row_counts(case.warehouse.layers(spark))
 
 
 def ingest_upsert(spark: SparkSession, sf: str) -> DataFrame:
-    """Daily mart after two loads that touch the same dates."""
-    case = _Case(spark, "upsert")
-    case.deliver(_lines(spark, sf, "event_id % 2 = 0"))
+    """Daily mart after a morning and an evening load of every date."""
+    case = LoadCase(spark, "upsert")
+    case.deliver(event_lines(spark, sf, "hour(event_timestamp) < 12"))
     case.run()
-    case.deliver(_lines(spark, sf, "event_id % 2 = 1"))
+    case.deliver(event_lines(spark, sf, "hour(event_timestamp) >= 12"))
     case.run()
     return case.mart("daily_summary")
 
 
 def ingest_late_data(spark: SparkSession, sf: str) -> DataFrame:
     """User mart after newer dates first and older ones, in part known, later."""
-    case = _Case(spark, "late")
-    case.deliver(_lines(spark, sf, "event_date >= date'2024-01-10' OR event_id % 4 = 0"))
+    case = LoadCase(spark, "late")
+    case.deliver(event_lines(spark, sf, "event_date >= date'2024-01-10'"))
     case.run()
-    case.deliver(_lines(spark, sf, "event_date < date'2024-01-12'"))
+    case.deliver(event_lines(spark, sf, "event_date < date'2024-01-12'"))
     case.run()
     return case.mart("user_summary")
 
 
 def file_inventory_by_day(spark: SparkSession, sf: str) -> DataFrame:
     """File inventory before and after a second delivery, summed per log date."""
-    case = _Case(spark, "inventory")
-    case.deliver(_lines(spark, sf, "event_date <= date'2024-01-20'"))
+    case = LoadCase(spark, "inventory")
+    case.deliver(event_lines(spark, sf, "event_date <= date'2024-01-20'"))
     case.run()
-    case.deliver(_lines(spark, sf, "event_date > date'2024-01-20'"))
+    case.deliver(event_lines(spark, sf, "event_date > date'2024-01-20'"))
     inventory = file_inventory(
         list_files(spark, case.source),
         read_raw(spark, case.source),
@@ -160,8 +160,8 @@ def jsonl_by_day(spark: SparkSession, sf: str) -> DataFrame:
     """Lines per day folder after two appends."""
     path = fresh_folder(spark, "jsonl")
     events = testdata.usage_events(spark, sf)
-    for part in (0, 1):
-        exports.write_jsonl_by_day(events.filter(f"event_id % 2 = {part}"), path)
+    for part in ("tool_name IS NULL", "tool_name IS NOT NULL"):
+        exports.write_jsonl_by_day(events.filter(part), path)
     written = spark.read.schema("event_id BIGINT, event_type STRING, event_date DATE").json(path)
     return written.groupBy("event_date", "event_type").agg(F.count("event_id").alias("n"))
 
@@ -169,10 +169,10 @@ def jsonl_by_day(spark: SparkSession, sf: str) -> DataFrame:
 def export_json_lines(spark: SparkSession, sf: str) -> DataFrame:
     """Readable lines exported from files that hold broken ones too."""
     path = fresh_folder(spark, "export")
-    lines = _lines(spark, sf).withColumn(
-        "value", F.when(F.expr("event_id % 10 = 3"), F.lit('{"cut":')).otherwise(F.col("value"))
+    cut = F.when(F.col("value").contains('"event_type":"Stop"'), F.expr("left(value, 40)"))
+    exports.export_json(
+        event_lines(spark, sf).withColumn("value", F.coalesce(cut, F.col("value"))), path
     )
-    exports.export_json(lines, path)
     return spark.read.schema(
         "seq BIGINT, event_type STRING, user_id STRING, tool_name STRING, success BOOLEAN"
     ).json(path).withColumnRenamed("seq", "event_id")

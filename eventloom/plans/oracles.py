@@ -660,7 +660,7 @@ def oracle_sql() -> dict[str, str]:
             " event_date AS log_date FROM ev"),
         "jsonl_by_day": _ev("SELECT event_date, event_type, count(*) AS n FROM ev GROUP BY 1, 2"),
         "export_json": _ev("SELECT event_id, event_type, user_id, tool_name, tool_success AS success"
-                           " FROM ev WHERE event_id % 10 <> 3"),
+                           " FROM ev WHERE event_type <> 'Stop'"),
         "export_flat": _ev(
             f"SELECT event_id, strftime({_UTC}, {_ISO}) AS timestamp, event_type, user_id,"
             f" CASE WHEN {_TEAM} THEN '' ELSE team_id END AS team_id,"
@@ -672,13 +672,10 @@ def oracle_sql() -> dict[str, str]:
             + ", ".join(_sum(name) for name in _MART_NAMES)
             + ", max(last_active_at) AS last_active_at FROM usr GROUP BY 1, 2, 3"),
         "user_remap_events": _ev(
-            "SELECT CASE WHEN m.old_id IS NULL THEN ev.user_id ELSE m.new_id END AS user_id,"
-            " count(*) AS events, min(event_timestamp) AS first_active,"
-            " max(event_timestamp) AS last_active FROM ev LEFT JOIN (SELECT DISTINCT"
-            " CASE WHEN user_id % 7 = 0 THEN concat('user', user_id)"
-            " ELSE concat('user', user_id, '@example.com') END AS old_id,"
-            " concat('moved-', user_id) AS new_id FROM events WHERE user_id % 10 = 1) m"
-            " ON m.old_id = ev.user_id GROUP BY 1"),
+            "SELECT CASE WHEN contains(user_id, '@') THEN user_id"
+            " ELSE concat(user_id, '@example.com') END AS user_id, count(*) AS events,"
+            " min(event_timestamp) AS first_active, max(event_timestamp) AS last_active"
+            " FROM ev GROUP BY 1"),
     }
 
 

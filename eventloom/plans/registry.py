@@ -150,12 +150,10 @@ def _user_remap(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _user_remap_events(spark: SparkSession, sf: str) -> DataFrame:
-    # The mapping frame comes from the events: every tenth user gets a new id.
+    # Users without a mail domain move to one.
     events = testdata.usage_events(spark, sf)
-    mapping = testdata.table(spark, sf, "events").filter("user_id % 10 = 1").selectExpr(
-        "CASE WHEN user_id % 7 = 0 THEN concat('user', user_id)"
-        " ELSE concat('user', user_id, '@example.com') END AS old_id",
-        "concat('moved-', user_id) AS new_id",
+    mapping = events.filter("NOT contains(user_id, '@')").selectExpr(
+        "user_id AS old_id", "concat(user_id, '@example.com') AS new_id"
     ).distinct()
     return C.user_activity(remap_users(events, mapping))
 

@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventloom.operators.clean import with_canonical
 from eventloom.sources.tables import clustered
 
 _FLAT_TEXT = (
@@ -22,9 +21,20 @@ def write_jsonl_by_day(df: DataFrame, path: str, day: str = "event_date") -> Non
     clustered(df, day).write.mode("append").partitionBy(day).json(path)
 
 
+def _listed(kind: str) -> Column:
+    """The line read once as a list of documents; NULL when it is not JSON."""
+    text = F.concat(F.lit("["), F.col("value"), F.lit("]"))
+    return F.from_json(text, f"ARRAY<{kind}>", {"allowSingleQuotes": "false"}).alias("docs")
+
+
 def valid_lines(raw: DataFrame) -> DataFrame:
-    """Lines (``value``) that hold exactly one JSON document."""
-    return with_canonical(raw.select("value")).filter("canonical IS NOT NULL").select("value")
+    """Lines (``value``) that hold exactly one JSON document.
+
+    A generator drops the others; a filter would be pushed below the parse and
+    repeat it.
+    """
+    one = F.when(F.size("docs") == 1, F.array("value"))
+    return raw.select("value", _listed("STRING")).select(F.explode(one).alias("value"))
 
 
 def export_json(raw: DataFrame, path: str) -> None:
@@ -38,15 +48,10 @@ def export_flat(raw: DataFrame, *carry: str) -> DataFrame:
     Each line is read once as a one-element list, and a generator turns the
     list into a row or, for an unreadable line, into none.
     """
-    listed = F.from_json(
-        F.concat(F.lit("["), F.col("value"), F.lit("]")), f"ARRAY<STRUCT<{_FLAT}>>",
-        {"allowSingleQuotes": "false"},
-    )
     docs = F.col("docs")
     readable = (F.size(docs) == 1) & F.get(docs, F.lit(0)).isNotNull()
-    rows = (
-        raw.select(*carry, listed.alias("docs"))
-        .select(*carry, F.inline(F.when(readable, docs)))
+    rows = raw.select(*carry, _listed(f"STRUCT<{_FLAT}>")).select(
+        *carry, F.inline(F.when(readable, docs))
     )
 
     def flag(name: str):

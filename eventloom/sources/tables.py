@@ -36,14 +36,12 @@ def clustered(df: DataFrame, partition: str, *order: str) -> DataFrame:
 
 
 def append_raw(keyed: DataFrame, path: str, load_id: str) -> None:
-    """Store a load of keyed lines; repeating a load replaces it."""
-    (
-        keyed.withColumns({"received_at": F.current_timestamp(), "load_id": F.lit(load_id)})
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("load_id")
-        .parquet(path)
-    )
+    """Store a load of keyed lines in its own folder; repeating it replaces it.
+
+    Writing the folder itself needs no sort by a partition column.
+    """
+    stamped = keyed.withColumn("received_at", F.current_timestamp())
+    stamped.write.mode("overwrite").parquet(f"{path}/load_id={load_id}")
 
 
 def write_events(events: DataFrame, path: str) -> None:

@@ -8,7 +8,7 @@ from eventloom.operators import normalize as N
 from eventloom.operators import service_stats as C
 from eventloom.operators.clean import key_lines, split_bad, typed_events
 from eventloom.plans import pipeline as P
-from eventloom.plans.ingest_cases import _Case, _lines
+from eventloom.plans.ingest_cases import LoadCase, event_lines
 from eventloom.sources import tables
 from eventloom.sources import testdata as td
 
@@ -23,8 +23,8 @@ def plan(df):
 
 @pytest.fixture(scope="module")
 def house(spark):
-    case = _Case(spark, "plans")
-    case.deliver(_lines(spark, SF))
+    case = LoadCase(spark, "plans")
+    case.deliver(event_lines(spark, SF))
     P.ingest_batch(spark, case.source, case.warehouse)
     return case.warehouse
 
