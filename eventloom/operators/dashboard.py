@@ -276,7 +276,7 @@ def monthly_active(daily: DataFrame, user_sum: DataFrame, team_id: str) -> DataF
     return users.join(totals, "month").orderBy("month")
 
 
-def _feature_users(user_rows: DataFrame, period: Column, prefix: str = "") -> list[Column]:
+def _feature_sums(period: Column, prefix: str) -> list[Column]:
     """Per-user sums of the four features within a period."""
     return [_sum_when(period, col, f"{prefix}{name}") for name, col in _FEATURES.items()]
 
@@ -321,8 +321,8 @@ def roi_kpi(daily: DataFrame, user_sum: DataFrame, tool_sum: DataFrame, team_id:
         F.max(previous).alias("before"),
         _sum_when(current, "total_events", "now_events"),
         _sum_when(previous, "total_events", "before_events"),
-        *_feature_users(user_sum, current, "now_"),
-        *_feature_users(user_sum, previous, "before_"),
+        *_feature_sums(current, "now_"),
+        *_feature_sums(previous, "before_"),
     )
     users = per_user.agg(
         F.count_if("now").alias("active_users"),

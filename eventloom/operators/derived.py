@@ -84,20 +84,16 @@ def insights(kpi: DataFrame) -> DataFrame:
 # --- heatmap and hours ------------------------------------------------------
 
 
-def dense_hours(spark_hours: DataFrame, by_hour: DataFrame) -> DataFrame:
-    """All hours of the given spine, zero where nothing happened."""
+def limit_hours_dense(by_hour: DataFrame) -> DataFrame:
+    """All 24 hours, zero where no limit was hit."""
+    hours = by_hour.sparkSession.range(24).select(F.col("id").cast("int").alias("hour_of_day"))
     return (
-        spark_hours.select(F.col("id").cast("int").alias("hour_of_day"))
-        .join(by_hour, "hour_of_day", "left")
+        hours.join(by_hour, "hour_of_day", "left")
         .select("hour_of_day", F.coalesce("limit_hits", F.lit(0)).alias("limit_hits"))
         .orderBy("hour_of_day")
     )
 
 
-def limit_hours_dense(by_hour: DataFrame) -> DataFrame:
-    return dense_hours(by_hour.sparkSession.range(24), by_hour)
-
-
 def heatmap_dense(cells: DataFrame) -> DataFrame:
     """All 7 x 24 cells, Monday first, zero where nothing happened."""
     spine = cells.sparkSession.range(7 * 24).select(

@@ -16,7 +16,6 @@ from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from eventloom.operators.clean import key_lines, split_bad, typed_events
 from eventloom.operators.marts import marts_from_base, usage_base
