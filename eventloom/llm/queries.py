@@ -7,16 +7,24 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventloom.llm import dropout, packing, quality, simhash, topk
+from eventloom.llm import dropout, hmm, packing, passages, quality, simhash, topk
 from eventloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def _op2(spark: SparkSession, sf: str) -> DataFrame:
+    return passages.removal_report(table(spark, sf, "documents"))
+
+
 def _op4(spark: SparkSession, sf: str) -> DataFrame:
     return dropout.round_trip(table(spark, sf, "documents"))
 
 
+def _op5(spark: SparkSession, sf: str) -> DataFrame:
+    return hmm.language_scores(table(spark, sf, "documents"))
+
+
 def _op6(spark: SparkSession, sf: str) -> DataFrame:
     return topk.top_products(table(spark, sf, "embeddings"))
 
@@ -38,7 +46,9 @@ def _op10(spark: SparkSession, sf: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op2_suffix_array_dedup": _op2,
         "op4_piece_dropout": _op4,
+        "op5_hmm_scores": _op5,
         "op6_exact_topk": _op6,
         "op7_best_fit_packing": _op7,
         "op8_quality_classifier": _op8,
