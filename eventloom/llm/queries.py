@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventloom.llm import dropout, hmm, packing, passages, quality, simhash, topk
+from eventloom.llm import dropout, hmm, lines, packing, passages, quality, simhash, topk
 from eventloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,6 +38,10 @@ def _op8(spark: SparkSession, sf: str) -> DataFrame:
     return quality.quality_scores(docs, quality.learn(docs, table(spark, sf, "labels")))
 
 
+def _op9(spark: SparkSession, sf: str) -> DataFrame:
+    return lines.line_report(table(spark, sf, "documents"))
+
+
 def _op10(spark: SparkSession, sf: str) -> DataFrame:
     found = simhash.simhash_components(table(spark, sf, "documents"))
     return found.select(
@@ -52,6 +56,7 @@ def queries() -> dict[str, Query]:
         "op6_exact_topk": _op6,
         "op7_best_fit_packing": _op7,
         "op8_quality_classifier": _op8,
+        "op9_line_dedup": _op9,
         "op10_simhash_near_dedup": _op10,
     }
 

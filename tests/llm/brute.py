@@ -35,6 +35,10 @@ def ascii_words(text):
     return text.encode().lower().split()
 
 
+def line_words(line):
+    return line.lower().encode().split()
+
+
 def simhash(text, width=4):
     words = ascii_words(text)
     parts = [b" ".join(words[i:i + width]) for i in range(max(1, len(words) - width + 1))] if words else []
@@ -103,7 +107,7 @@ def kept_lines(docs, threshold=0.8):
     for doc, text in rows_of(docs):
         gone = []
         for number, line in enumerate(text.split("\n")):
-            words = frozenset(ascii_words(line))
+            words = frozenset(line_words(line))
             if not words:
                 continue
             rivals = set().union(*[by_word[w] for w in words])
