@@ -7,16 +7,35 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventloom.llm import dropout, hmm, lines, packing, passages, quality, simhash, topk
+from eventloom.llm import (
+    dropout,
+    hmm,
+    licenses,
+    lines,
+    packing,
+    passages,
+    quality,
+    simhash,
+    spotsigs,
+    topk,
+)
 from eventloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def _op1(spark: SparkSession, sf: str) -> DataFrame:
+    return spotsigs.fingerprint_report(table(spark, sf, "documents"))
+
+
 def _op2(spark: SparkSession, sf: str) -> DataFrame:
     return passages.removal_report(table(spark, sf, "documents"))
 
 
+def _op3(spark: SparkSession, sf: str) -> DataFrame:
+    return licenses.scan_licenses(table(spark, sf, "documents"), licenses.template_table(spark))
+
+
 def _op4(spark: SparkSession, sf: str) -> DataFrame:
     return dropout.round_trip(table(spark, sf, "documents"))
 
@@ -50,7 +69,9 @@ def _op10(spark: SparkSession, sf: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_spot_signatures": _op1,
         "op2_suffix_array_dedup": _op2,
+        "op3_license_scan": _op3,
         "op4_piece_dropout": _op4,
         "op5_hmm_scores": _op5,
         "op6_exact_topk": _op6,
