@@ -36,6 +36,14 @@ def drop_stored(df: DataFrame) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def texts(docs: DataFrame, *keep: str) -> DataFrame:
     """``doc_id``, whole ``text`` (null: empty) and the named further columns."""
     return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), *keep)

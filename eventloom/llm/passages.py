@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventloom.llm.common import as_bytes, drop_stored, slices, store, texts
+from eventloom.llm.common import as_bytes, drop_stored, free_name, slices, store, texts
 from eventloom.llm.suffixes import permuted_common_prefixes, suffix_array
 
 WINDOW = 100
@@ -113,7 +113,7 @@ def _runs(data: np.ndarray, docs: np.ndarray, starts: np.ndarray, sizes: np.ndar
     return out
 
 
-def _doc_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
+def _doc_runs(batches: Iterator[pa.RecordBatch], stretch: int) -> Iterator[np.ndarray]:
     held: list[tuple[int, np.ndarray]] = []
     total = 0
 
@@ -127,12 +127,12 @@ def _doc_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
             data = np.frombuffer(text, np.uint8)
             if len(data) < WINDOW:
                 continue
-            if len(data) > _STRETCH:
-                for low in range(0, len(data) - WINDOW + 1, _STRETCH):
-                    part = data[low:low + _STRETCH + WINDOW - 1]
+            if len(data) > stretch:
+                for low in range(0, len(data) - WINDOW + 1, stretch):
+                    part = data[low:low + stretch + WINDOW - 1]
                     yield _runs(part, np.array([doc]), np.zeros(1, np.int64), np.array([len(part)]), low)
                 continue
-            if total + len(data) > _STRETCH and held:
+            if total + len(data) > stretch and held:
                 yield buffer()
                 held, total = [], 0
             held.append((doc, data))
@@ -166,7 +166,7 @@ def _found(kind: int, runs: np.ndarray) -> pa.RecordBatch:
     ], _FOUND)
 
 
-def _map_runs(shards: int):
+def _map_runs(shards: int, stretch: int):
     """Runs of a task's documents, equal ones settled there, the first sent to shards."""
 
     def flush(held: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
@@ -189,7 +189,7 @@ def _map_runs(shards: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, total = [], 0
-        for runs in _doc_runs(batches):
+        for runs in _doc_runs(batches, stretch):
             held.append(runs)
             total += len(runs)
             if total >= _FLUSH_RUNS:
@@ -211,16 +211,21 @@ def _unpacked(blob: bytes) -> np.ndarray:
     return out
 
 
-def _settle_shard(table: pa.Table) -> pa.Table:
+def _settle_shard(many_runs: int):
     """Repeats among the runs of a shard, and the runs whose owner has differing ones."""
-    runs, first = _first_of_each(np.concatenate([_unpacked(b) for b in table.column("runs").to_pylist()]))
-    parts = [_found(0, runs[~first])]
-    runs = runs[first]
-    _, at, variants = np.unique(runs["owner"], return_inverse=True, return_counts=True)
-    variants = variants[at]
-    parts += [_found(1, runs[(variants > 1) & (variants <= _MANY_RUNS)]),
-              _found(2, runs[variants > _MANY_RUNS])]
-    return pa.Table.from_batches(parts)
+
+    def run(table: pa.Table) -> pa.Table:
+        blobs = table.column("runs").to_pylist()
+        runs, first = _first_of_each(np.concatenate([_unpacked(b) for b in blobs]))
+        parts = [_found(0, runs[~first])]
+        runs = runs[first]
+        _, at, variants = np.unique(runs["owner"], return_inverse=True, return_counts=True)
+        variants = variants[at]
+        parts += [_found(1, runs[(variants > 1) & (variants <= many_runs)]),
+                  _found(2, runs[variants > many_runs])]
+        return pa.Table.from_batches(parts)
+
+    return run
 
 
 def _window_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -295,16 +300,17 @@ def _compare_shard(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"doc": doc[first], "low": at[first], "high": at[ends[:len(first)]]})
 
 
-def repeated_ranges(docs: DataFrame) -> DataFrame:
+def repeated_ranges(docs: DataFrame, many_runs: int = _MANY_RUNS,
+                    stretch: int = _STRETCH) -> DataFrame:
     """(doc, low, high): windows starting at low..high of a document start earlier elsewhere."""
     whole = texts(docs).filter("doc_id IS NOT NULL").select(
         F.col("doc_id").cast("long").alias("doc_id"), "text")
     volume = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     # A run starts about every half window of owners.
     shards = max(1, math.ceil(2 * volume / (WINDOW - _GRAM + 2) / _SHARD_RUNS))
-    mapped = store(whole.mapInArrow(_map_runs(shards), _FOUND_SCHEMA), "runs")
+    mapped = store(whole.mapInArrow(_map_runs(shards, stretch), _FOUND_SCHEMA), "runs")
     settled = store(
-        mapped.filter("kind = 9").groupBy("shard").applyInArrow(_settle_shard, _FOUND_SCHEMA)
+        mapped.filter("kind = 9").groupBy("shard").applyInArrow(_settle_shard(many_runs), _FOUND_SCHEMA)
         .drop("shard", "runs"), "settled")
     early = store(mapped.filter("kind = 0").select("doc", "low", "high"), "early")
     drop_stored(mapped)
@@ -356,14 +362,15 @@ def _whole_characters(data: np.ndarray, gone: np.ndarray) -> np.ndarray:
     return gone & ~stays[char]
 
 
-def with_spans(docs: DataFrame) -> DataFrame:
-    """``docs`` with a column ``_spans``: the repeated ranges of each document."""
-    spans = repeated_ranges(docs).groupBy(F.col("doc").alias("_doc")).agg(
-        F.collect_list(F.struct("low", "high")).alias("_spans"))
-    return docs.join(spans, docs["doc_id"].cast("long") == spans["_doc"], "left").drop("_doc")
+def with_spans(docs: DataFrame, name: str, **limits: int) -> DataFrame:
+    """``docs`` with a column ``name``: the repeated ranges of each document."""
+    key = free_name(docs, "repeat_doc")
+    spans = repeated_ranges(docs, **limits).groupBy(F.col("doc").alias(key)).agg(
+        F.collect_list(F.struct("low", "high")).alias(name))
+    return docs.join(spans, F.col("doc_id").cast("long") == F.col(key), "left").drop(key)
 
 
-def removal_report(docs: DataFrame) -> DataFrame:
+def removal_report(docs: DataFrame, **limits: int) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256): one row per document.
 
     Null texts count as empty; texts below the window's length keep all bytes.
@@ -375,7 +382,7 @@ def removal_report(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 256):
             rows = []
-            for text, spans in zip(as_bytes(batch.column("text")), batch.column("_spans").to_pylist()):
+            for text, spans in zip(as_bytes(batch.column("text")), batch.column("spans").to_pylist()):
                 data = np.frombuffer(text, np.uint8)
                 gone = _removed_mask(len(data), spans or [])
                 opens = int(gone[:1].sum() + (gone[1:] & ~gone[:-1]).sum())
@@ -386,7 +393,7 @@ def removal_report(docs: DataFrame) -> DataFrame:
                 ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return with_spans(texts(docs)).select("doc_id", "text", "_spans").mapInArrow(
+    return with_spans(texts(docs), "spans", **limits).select("doc_id", "text", "spans").mapInArrow(
         run, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
@@ -398,12 +405,13 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     """
     names = docs.columns
     schema = docs.schema
+    added = free_name(docs, "spans")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 256):
             out, counts = [], []
             column = batch.column("text")
-            for text, spans in zip(as_bytes(column), batch.column("_spans").to_pylist()):
+            for text, spans in zip(as_bytes(column), batch.column(added).to_pylist()):
                 if text is not None and spans:
                     data = np.frombuffer(text, np.uint8)
                     gone = _removed_mask(len(data), spans)
@@ -417,4 +425,4 @@ def without_repeats(docs: DataFrame) -> DataFrame:
                 cells["n_chars"] = pa.array(counts, batch.column("n_chars").type)
             yield pa.RecordBatch.from_arrays([cells[n] for n in names], names)
 
-    return with_spans(docs).select(*names, "_spans").mapInArrow(run, schema)
+    return with_spans(docs, added).select(*names, added).mapInArrow(run, schema)

@@ -120,7 +120,7 @@ def _search(k: int):
             if not len(asked):
                 continue
             tree = BallTree(part["vec_id"].to_numpy(),
-                            np.array(part["ints"].tolist(), dtype=np.int64).reshape(-1, size))
+                            np.array(part["ints"].tolist(), dtype=np.int64).reshape(len(part), size))
             for own, ints, floor in zip(asked["own_id"], asked["own_ints"], asked["floor"]):
                 found = tree.search(own, np.asarray(ints, dtype=np.int64), k, floor)
                 out += [(own, vec, score) for score, vec in found]
