@@ -95,7 +95,7 @@ def actions(spark: SparkSession, sf: str, case: LoadCase, tasks: int) -> dict[st
         "user_leaderboard": Q.user_leaderboard(users, *at),
         "tool_trend": Q.tool_trend(tools, *at),
         "roi_kpi": Q.roi_kpi(daily, users, tools, *at),
-        "api_stats": C.api_stats(events, *at),
+        "api_stats": C.api_stats(events, users, *at),
         "api_tools": C.api_tools(events, *at),
         "normalize_hooks": N.normalize_hooks(hooks, texts),
         "stop_reason_tail": N.stop_reason_by_line(turns, "conv_id", ["turn"], "line", 3),

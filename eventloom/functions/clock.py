@@ -16,6 +16,10 @@ from pyspark.sql import functions as F
 from eventloom.schema import EVENT_ZONE, PERIOD_DAYS, TREND_CAP_DAYS
 
 AsOf = datetime | str | None
+# A period that reaches back before every date.
+ALL_HISTORY = 200_000
+# A letter or a sign after a time of day names an offset or a zone.
+_HAS_OFFSET = r"\d:\d.*[A-Za-z+-]"
 
 
 def resolve_as_of(as_of: AsOf = None) -> datetime:
@@ -53,12 +57,16 @@ def date_lit(day: date) -> Column:
 
 
 def period_days(label: str) -> int:
-    """Days behind a period preset (1D, 7D, 30D, 90D, All)."""
+    """Days behind a period preset (1D, 7D, 30D, 90D, All).
+
+    All means one year, as dashboards show it; ALL_HISTORY reaches every date.
+    """
     return PERIOD_DAYS[label]
 
 
-def cap_days(days: int, cap: int = TREND_CAP_DAYS) -> int:
-    return min(days, cap)
+def cap_days(days: int, cap: int | None = TREND_CAP_DAYS) -> int:
+    """``days``, at most ``cap``; None lifts the cap."""
+    return days if cap is None else min(days, cap)
 
 
 def date_in_current(days: int, as_of: AsOf = None, col: str = "summary_date") -> Column:
@@ -123,22 +131,36 @@ def week_start(day: Column) -> Column:
     return F.trunc(day, "week")
 
 
+def wall_seconds(wall: Column) -> Column:
+    """Seconds of a zone-less wall clock since 1970, whatever the session's zone."""
+    span = wall.cast("timestamp_ntz") - F.lit("1970-01-01").cast("timestamp_ntz")
+    return span.cast("interval second").cast("decimal(18,6)")
+
+
 def minutes_between(start: Column, end: Column) -> Column:
-    """Minute boundaries crossed between two timestamps."""
+    """Minute boundaries crossed between two wall clocks."""
 
     def minute(ts: Column) -> Column:
-        return F.unix_seconds(F.date_trunc("minute", ts).cast("timestamp"))
+        return F.floor(wall_seconds(ts) / 60)
 
-    return ((minute(end) - minute(start)) / 60).cast("bigint")
+    return (minute(end) - minute(start)).cast("bigint")
 
 
 # --- conversions ------------------------------------------------------------
 
 
 def event_time(text: Column) -> Column:
-    """Tolerant ISO-8601 text (UTC) to Tokyo wall clock; NULL when unreadable."""
-    wall = F.try_to_timestamp(text).cast("timestamp_ntz")
-    return F.convert_timezone(F.current_timezone(), F.lit(EVENT_ZONE), wall)
+    """Tolerant ISO-8601 text to Tokyo wall clock; NULL when unreadable.
+
+    Text without an offset is UTC.  Nothing depends on the session's zone: a
+    text with an offset is read as a moment and placed on the UTC wall clock
+    by its distance from 1970, a text without one as a wall clock.
+    """
+    seconds = (F.unix_micros(F.try_to_timestamp(text)) / F.lit(1_000_000).cast("decimal(7,0)"))
+    moment = F.lit("1970-01-01").cast("timestamp_ntz") + F.make_dt_interval(
+        secs=seconds.cast("decimal(18,6)"))
+    wall = F.when(text.rlike(_HAS_OFFSET), moment).otherwise(text.try_cast("timestamp_ntz"))
+    return F.convert_timezone(F.lit("UTC"), F.lit(EVENT_ZONE), wall)
 
 
 def utc_wall(ts: Column) -> Column:
@@ -148,7 +170,10 @@ def utc_wall(ts: Column) -> Column:
 
 def iso_utc(wall: Column) -> Column:
     """ISO text of a UTC wall clock."""
-    return F.concat(F.date_format(wall, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("+00:00"))
+    text = wall.cast("timestamp_ntz").cast("string")
+    fraction = F.rpad(F.substring(text, 21, 6), 6, "0")
+    return F.concat(F.translate(F.substring(text, 1, 19), " ", "T"), F.lit("."), fraction,
+                    F.lit("+00:00"))
 
 
 def time_ago(ts: Column, as_of: AsOf = None) -> Column:
@@ -157,10 +182,7 @@ def time_ago(ts: Column, as_of: AsOf = None) -> Column:
     A moment after the clock counts back within its day, so its age is taken
     modulo one day.
     """
-    micros = F.unix_micros(ntz_lit(resolve_as_of(as_of)).cast("timestamp")) - F.unix_micros(
-        ts.cast("timestamp")
-    )
-    seconds = F.floor(micros / 1_000_000)
+    seconds = F.floor(wall_seconds(ntz_lit(resolve_as_of(as_of))) - wall_seconds(ts))
     days = F.floor(seconds / 86_400)
     rest = F.pmod(seconds, F.lit(86_400))
     hours = F.floor(rest / 3_600)

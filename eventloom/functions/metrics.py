@@ -16,14 +16,18 @@ def at_least_one(value: Column) -> Column:
     return F.greatest(F.coalesce(value, F.lit(1)), F.lit(1))
 
 
-def percent(part: Column, whole: Column, digits: int = 1) -> Column:
+# Stored figures round ties away from zero, those a dashboard computes to even.
+_ROUND = {"up": F.round, "even": F.bround}
+
+
+def percent(part: Column, whole: Column, digits: int = 1, ties: str = "up") -> Column:
     """Rounded share in percent; NULL when the whole is zero."""
-    return F.round(F.try_divide(part.cast("double"), whole) * 100, digits)
+    return _ROUND[ties](F.try_divide(part.cast("double"), whole) * 100, digits)
 
 
-def ratio(part: Column, whole: Column, digits: int = 1) -> Column:
+def ratio(part: Column, whole: Column, digits: int = 1, ties: str = "up") -> Column:
     """Rounded quotient; NULL when the divisor is zero."""
-    return F.round(F.try_divide(part.cast("double"), whole), digits)
+    return _ROUND[ties](F.try_divide(part.cast("double"), whole), digits)
 
 
 def pct_change(current: Column, previous: Column) -> Column:
@@ -32,7 +36,7 @@ def pct_change(current: Column, previous: Column) -> Column:
     return (
         F.when((prev == 0) & (cur > 0), F.lit(100.0))
         .when(prev == 0, F.lit(0.0))
-        .otherwise(F.round((cur - prev).cast("double") / prev * 100, 1))
+        .otherwise(F.bround((cur - prev).cast("double") / prev * 100, 1))
     )
 
 
@@ -43,11 +47,11 @@ def change_direction(change: Column) -> Column:
 def whole_percent(part: Column, whole: Column) -> Column:
     """Share as a whole percentage; a zero or missing whole counts as one."""
     base = F.when(or_zero(whole) == 0, F.lit(1)).otherwise(whole)
-    return F.round(or_zero(part).cast("double") / base * 100).cast("bigint")
+    return F.bround(or_zero(part).cast("double") / base * 100).cast("bigint")
 
 
 def limit_stop_pct(limit_stopped: Column, sessions: Column) -> Column:
-    return F.when(or_zero(sessions) > 0, percent(or_zero(limit_stopped), sessions)).otherwise(0.0)
+    return F.when(or_zero(sessions) > 0, percent(or_zero(limit_stopped), sessions, ties="even")).otherwise(0.0)
 
 
 def depth_score(skill: Column, mcp: Column, subagent: Column, command: Column, total: Column) -> Column:
@@ -58,11 +62,11 @@ def depth_score(skill: Column, mcp: Column, subagent: Column, command: Column, t
         + or_zero(subagent) / total * 0.2
         + or_zero(command) / total * 0.2
     )
-    return F.when(total == 0, F.lit(0.0)).otherwise(F.round(weighted * 100, 1))
+    return F.when(total == 0, F.lit(0.0)).otherwise(F.bround(weighted * 100, 1))
 
 
 def hours_saved(executions: Column, minutes: int = MINUTES_SAVED_PER_EXECUTION) -> Column:
-    return F.round(or_zero(executions) * minutes / F.lit(60.0), 1)
+    return F.bround(or_zero(executions) * minutes / F.lit(60.0), 1)
 
 
 def annual_hours(hours: Column, days: int) -> Column:

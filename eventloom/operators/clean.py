@@ -9,6 +9,9 @@ from eventloom.functions.clock import event_time
 from eventloom.functions.counters import sums
 from eventloom.schema import DEFAULT_TEAM, EVENTS_SCHEMA, FLAGS, MART_COUNTERS
 
+# A mapping of more users than this is joined instead of written into the plan.
+_MOST_LITERALS = 500
+
 CLEAN_COLUMNS = tuple(EVENTS_SCHEMA.fieldNames())
 
 # Every field is read as text and cast afterwards, so one value of the wrong
@@ -154,17 +157,26 @@ def clean(raw: DataFrame) -> DataFrame:
 def remap_users(events: DataFrame, mapping: dict[str, str] | DataFrame) -> DataFrame:
     """Replace user ids.
 
-    A dict becomes one literal map.  A frame (old_id, new_id) is joined with no
-    broadcast hint, so its measured size and AQE decide the join.
+    A small dict becomes one literal map, a large one a frame.  A frame
+    (old_id, new_id) is joined with no broadcast hint, so its measured size and
+    AQE decide the join.  An id with two targets raises when the rows are read.
     """
     columns = events.columns
     if isinstance(mapping, dict):
         if not mapping:
             return events
+        if len(mapping) > _MOST_LITERALS:
+            frame = events.sparkSession.createDataFrame(
+                list(mapping.items()), "old_id string, new_id string")
+            return remap_users(events, frame)
         pairs = [F.lit(item) for pair in mapping.items() for item in pair]
         new_id = F.coalesce(F.create_map(*pairs)[F.col("user_id")], F.col("user_id"))
         return events.withColumn("user_id", new_id).select(*columns)
-    renames = mapping.groupBy(F.col("old_id").alias("user_id")).agg(F.min("new_id").alias("new_id"))
+    target = F.when(
+        F.min("new_id") != F.max("new_id"),
+        F.raise_error(F.concat(F.lit("two targets for user "), F.first("old_id")))
+    ).otherwise(F.min("new_id"))
+    renames = mapping.groupBy(F.col("old_id").alias("user_id")).agg(target.alias("new_id"))
     joined = events.join(renames, "user_id", "left")
     return joined.withColumn("user_id", F.coalesce("new_id", "user_id")).select(*columns)
 

@@ -27,7 +27,7 @@ from eventloom.functions.clock import (
 from eventloom.functions.counters import counts_with_users, pick, sums
 from eventloom.functions.metrics import percent, ratio
 from eventloom.functions.text import display_name
-from eventloom.schema import NO_PROJECT
+from eventloom.schema import NO_PROJECT, TREND_CAP_DAYS
 
 _FEATURES = {"skill": "skill_count", "mcp": "mcp_count", "sa": "subagent_count", "cmd": "command_count"}
 
@@ -38,8 +38,8 @@ def top_k(df: DataFrame, measure: str, key: str, k: int) -> DataFrame:
 
 
 def join_topk(df: DataFrame, topk: DataFrame, key: str) -> DataFrame:
-    """Rows whose key is in a top-k frame of at most k rows."""
-    return df.join(F.broadcast(topk.select(key)), key, "left_semi")
+    """Rows whose key is in a top-k frame; its measured size decides the join."""
+    return df.join(topk.select(key), key, "left_semi")
 
 
 def one_row(*parts: DataFrame) -> DataFrame:
@@ -79,10 +79,11 @@ def kpi_overview(daily: DataFrame, user_sum: DataFrame, team_id: str, days: int,
     return one_row(totals, users)
 
 
-def timeline(daily: DataFrame, team_id: str, days: int, as_of: AsOf = None) -> DataFrame:
-    """Messages, tools, sessions and limit hits per day, at most 90 days back."""
+def timeline(daily: DataFrame, team_id: str, days: int, as_of: AsOf = None,
+             max_days: int | None = TREND_CAP_DAYS) -> DataFrame:
+    """Messages, tools, sessions and limit hits per day, at most ``max_days`` back (None: no limit)."""
     return (
-        current_dates(for_team(daily, team_id), cap_days(days), as_of)
+        current_dates(for_team(daily, team_id), cap_days(days, max_days), as_of)
         .select(
             F.col("summary_date").alias("event_date"),
             F.col("message_count").alias("messages"),
@@ -339,9 +340,10 @@ def roi_kpi(daily: DataFrame, user_sum: DataFrame, tool_sum: DataFrame, team_id:
 
 
 def productivity_trend(daily: DataFrame, user_sum: DataFrame, team_id: str, days: int,
-                       as_of: AsOf = None) -> DataFrame:
-    """Executions and messages per active user and day, at most 90 days back."""
-    cap = cap_days(days)
+                       as_of: AsOf = None,
+             max_days: int | None = TREND_CAP_DAYS) -> DataFrame:
+    """Executions and messages per active user and day, at most ``max_days`` back (None: no limit)."""
+    cap = cap_days(days, max_days)
     totals = (
         current_dates(for_team(daily, team_id), cap, as_of)
         .groupBy("summary_date")
@@ -387,11 +389,12 @@ def user_efficiency(user_sum: DataFrame, team_id: str, days: int, as_of: AsOf =
     )
 
 
-def weekly_feature_mix(daily: DataFrame, team_id: str, days: int, as_of: AsOf = None) -> DataFrame:
-    """Messages, skills, mcp and other tool use per ISO week, at most 90 days back."""
+def weekly_feature_mix(daily: DataFrame, team_id: str, days: int, as_of: AsOf = None,
+             max_days: int | None = TREND_CAP_DAYS) -> DataFrame:
+    """Messages, skills, mcp and other tool use per ISO week, at most ``max_days`` back (None: no limit)."""
     basic = F.sum("tool_execution_count") - F.sum("skill_count") - F.sum("mcp_count")
     return (
-        current_dates(for_team(daily, team_id), cap_days(days), as_of)
+        current_dates(for_team(daily, team_id), cap_days(days, max_days), as_of)
         .groupBy(week_start(F.col("summary_date")).alias("week_start"))
         .agg(
             F.sum("message_count").alias("messages"),

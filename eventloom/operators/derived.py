@@ -226,9 +226,9 @@ def roi_summary(kpi: DataFrame, days: int) -> DataFrame:
         users = M.at_least_one(get("active_users"))
         return {
             "hours_saved": M.hours_saved(get("tool_execs")),
-            "events_per_user": M.ratio(M.or_zero(get("total_events")), users),
+            "events_per_user": M.ratio(M.or_zero(get("total_events")), users, ties="even"),
             "tool_success_pct": M.percent(
-                M.or_zero(get("tool_success")), M.at_least_one(get("tool_total"))
+                M.or_zero(get("tool_success")), M.at_least_one(get("tool_total")), ties="even"
             ),
             "depth_score": M.depth_score(
                 get("skill_users"), get("mcp_users"), get("sa_users"), get("cmd_users"),

@@ -19,7 +19,7 @@ def usage_base(events: DataFrame, by_tool: bool = False) -> DataFrame:
     and a team holding most of the rows is spread over its users.
     """
     keys = ["summary_date", "team_id", "user_id"] + (["tool_name"] if by_tool else [])
-    dated = events.withColumn("summary_date", F.to_date("event_timestamp"))
+    dated = events.withColumn("summary_date", F.col("event_date"))
     return dated.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("total_events"),
         *counts(pick(_CONDITIONS)),
@@ -66,7 +66,7 @@ def user_summary(events: DataFrame) -> DataFrame:
 def tool_summary(events: DataFrame) -> DataFrame:
     return (
         events.filter(F.col("tool_name").isNotNull())
-        .withColumn("summary_date", F.to_date("event_timestamp"))
+        .withColumn("summary_date", F.col("event_date"))
         .groupBy("summary_date", "team_id", "tool_name")
         .agg(
             F.count(F.lit(1)).alias("execution_count"),

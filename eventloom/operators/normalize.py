@@ -17,13 +17,17 @@ from eventloom.functions.text import (
     tool_flags,
     user_identifier,
 )
-from eventloom.schema import DEFAULT_TEAM, LIMIT_PHRASES, TRANSCRIPT_TAIL_LINES
-
-_CONTENT_COLUMNS = (
-    "prompt", "tool_input", "tool_response", "message", "title", "error",
-    "last_assistant_message", "custom_instructions", "raw_input",
+from eventloom.schema import (
+    DEFAULT_TEAM,
+    HOOK_INPUT,
+    LIMIT_PHRASES,
+    PRIVATE_COLUMNS,
+    TRANSCRIPT_TAIL_LINES,
 )
 
+# Payload columns that hold JSON documents.
+_DOCUMENTS = ("tool_input", "tool_response", "raw_input")
+
 
 def classify_tool(df: DataFrame, name_col: str, input_col: str) -> DataFrame:
     """Add the ``categories`` struct of five tool flags."""
@@ -86,7 +90,12 @@ def _with_stop_reason(hooks: DataFrame, transcripts: DataFrame | None) -> DataFr
     if transcripts is None:
         return unknown
     joinable = (F.col("event_type") == "Stop") & blank_to_null(F.col("transcript_path")).isNotNull()
-    reasons = stop_reason(transcripts).withColumnRenamed("path", "transcript_path")
+    paths = hooks.filter(joinable).select(F.col("transcript_path").alias("path")).distinct()
+    # Only transcripts that a record names are searched; one listed twice counts once.
+    named = transcripts.join(paths, "path", "left_semi")
+    limited = F.max(F.col("stop_reason") == "usage_limit")
+    reasons = stop_reason(named).groupBy(F.col("path").alias("transcript_path")).agg(
+        F.when(limited, "usage_limit").otherwise("normal").alias("stop_reason"))
     stops = (
         hooks.filter(joinable)
         .join(reasons, "transcript_path", "left")
@@ -131,8 +140,7 @@ def normalize_hooks(hooks: DataFrame, transcripts: DataFrame | None = None,
         _text("cwd").alias("cwd"),
         _text("permission_mode").alias("permission_mode"),
         F.coalesce("hook_event_name", "event_type").alias("hook_event_name"),
-        F.to_json(F.struct(*[c for c in hooks.columns if c not in ("event_type", "ts", "event_id")]))
-        .alias("raw_input"),
+        F.to_json(F.struct(*[c for c in HOOK_INPUT if c in hooks.columns])).alias("raw_input"),
         only(tool, tool_name).alias("tool_name"),
         only(tool, _text("tool_use_id")).alias("tool_use_id"),
         only(tool, tool_input).alias("tool_input"),
@@ -167,14 +175,20 @@ def normalize_hooks(hooks: DataFrame, transcripts: DataFrame | None = None,
 
 
 def to_jsonl(payloads: DataFrame) -> DataFrame:
-    """One JSON text per payload; absent fields are left out."""
-    columns = [c for c in payloads.columns if c != "event_id"]
+    """One JSON text per payload; absent fields are left out, documents are nested."""
+
+    def nested(name: str) -> Column:
+        document = F.coalesce(F.try_parse_json(F.col(name)), F.col(name).cast("variant"))
+        return document.alias(name)
+
+    columns = [nested(c) if c in _DOCUMENTS else F.col(c)
+               for c in payloads.columns if c != "event_id"]
     return payloads.select(F.to_json(F.struct(*columns)).alias("value"))
 
 
 def redact(payloads: DataFrame) -> DataFrame:
-    """Drop free text; the recorded lengths stay."""
-    return payloads.drop(*_CONTENT_COLUMNS)
+    """Drop free text and paths; the recorded lengths stay."""
+    return payloads.drop(*PRIVATE_COLUMNS)
 
 
 # --- validation -------------------------------------------------------------

@@ -26,7 +26,7 @@ from eventloom.functions.clock import (
 from eventloom.functions.counters import is_message, is_session_start, is_tool_call
 from eventloom.functions.metrics import pct_change
 from eventloom.functions.text import display_name
-from eventloom.operators.dashboard import top_k
+from eventloom.operators.dashboard import one_row, top_k
 
 
 def _tool() -> Column:
@@ -37,8 +37,13 @@ def _utc_day() -> Column:
     return F.to_date(utc_wall(F.col("event_timestamp")))
 
 
-def api_stats(events: DataFrame, team_id: str, days: int = 1, as_of: AsOf = None) -> DataFrame:
-    """One row: counts of the period, change against the one before, users."""
+def api_stats(events: DataFrame, users: DataFrame, team_id: str, days: int = 1,
+              as_of: AsOf = None) -> DataFrame:
+    """One row: counts of the period, change against the one before, users.
+
+    Only the two periods of the events are read; the number of all users comes
+    from ``users``, the user mart.
+    """
     now = resolve_as_of(as_of)
     start = now - timedelta(days=days)
     ts = F.col("event_timestamp")
@@ -51,9 +56,8 @@ def api_stats(events: DataFrame, team_id: str, days: int = 1, as_of: AsOf = None
         "message": is_message(),
         "session": is_session_start(),
     }
-    # One row per user first: total users need all history, and the counts
-    # of both periods ride along in the same pass.
-    per_user = for_team(events, team_id).groupBy("user_id").agg(
+    recent = for_team(events, team_id).filter(event_since(start - timedelta(days=days)))
+    per_user = recent.groupBy("user_id").agg(
         *[F.count_if(current & cond).alias(f"{name}_now") for name, cond in measures.items()],
         *[F.count_if(previous & cond).alias(f"{name}_before") for name, cond in measures.items()],
         F.count_if(current & F.col("is_command")).alias("command_now"),
@@ -65,9 +69,10 @@ def api_stats(events: DataFrame, team_id: str, days: int = 1, as_of: AsOf = None
         *[F.coalesce(F.sum(f"{name}_before"), F.lit(0)).alias(f"{name}_before")
           for name in measures],
         F.count_if("active").alias("active_users"),
-        F.count("user_id").alias("total_users"),
     )
-    return row.select(
+    known = for_team(users, team_id).select("user_id").distinct().agg(
+        F.count("user_id").alias("total_users"))
+    return one_row(row, known).select(
         *[f"{name}_count" for name in (*measures, "command")],
         "active_users",
         "total_users",

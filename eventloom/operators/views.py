@@ -1,4 +1,7 @@
-"""All-history views over the clean events."""
+"""All-history views over the clean events.
+
+Days are the stored partition column, so a filter on a view's date prunes.
+"""
 
 from __future__ import annotations
 
@@ -18,14 +21,10 @@ _DAY_COUNTERS = [
 _TOOL_AS = {"tool_execution_count": "tool_count"}
 
 
-def _by_day(events: DataFrame) -> DataFrame:
-    return events.withColumn("event_date", F.to_date("event_timestamp"))
-
-
 def kpi_metrics(events: DataFrame) -> DataFrame:
     """Counters and active users per team and day."""
     return counts_with_users(
-        _by_day(events), ["team_id", "event_date"], pick(_DAY_COUNTERS, _TOOL_AS),
+        events, ["team_id", "event_date"], pick(_DAY_COUNTERS, _TOOL_AS),
         total="total_events", users="active_users",
     )
 
@@ -33,7 +32,7 @@ def kpi_metrics(events: DataFrame) -> DataFrame:
 def overview_daily(events: DataFrame) -> DataFrame:
     """The day metrics plus file operations."""
     return counts_with_users(
-        _by_day(events), ["team_id", "event_date"],
+        events, ["team_id", "event_date"],
         pick([*_DAY_COUNTERS, "file_op_count"], _TOOL_AS),
         total="total_events", users="active_users",
     )
@@ -64,7 +63,7 @@ def user_stats_all(events: DataFrame) -> DataFrame:
 def _tool_days(events: DataFrame, *extra) -> DataFrame:
     # Rows with an unknown outcome stay in the denominator of this rate.
     return (
-        _by_day(events.filter(has_tool()))
+        events.filter(has_tool())
         .groupBy("team_id", "tool_name", "event_date")
         .agg(
             F.count(F.lit(1)).alias("execution_count"),
@@ -122,7 +121,7 @@ def monthly_active_events(events: DataFrame) -> DataFrame:
     """
     keys = ["team_id", "month"]
     pairs = (
-        events.withColumn("month", month_start(F.to_date("event_timestamp")))
+        events.withColumn("month", month_start(F.col("event_date")))
         .groupBy(*keys, "user_id", "session_id")
         .agg(F.count_if(is_message()).alias("messages"), F.count(F.lit(1)).alias("total_events"))
     )
@@ -143,7 +142,7 @@ def feature_adoption_daily(events: DataFrame) -> DataFrame:
     keys = ["team_id", "event_date"]
     features = ["skill", "mcp", "subagent", "command"]
     per_user = (
-        _by_day(events)
+        events
         .groupBy(*keys, "user_id")
         .agg(*[F.max(f"is_{name}").alias(name) for name in features])
     )

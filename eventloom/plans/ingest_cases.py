@@ -6,10 +6,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventloom.operators.service_stats import layer_row_counts
-from eventloom.plans.pipeline import Warehouse, ingest_batch
+from eventloom.plans.pipeline import Warehouse, apply_remap, compact_events, ingest_batch
 from eventloom.sources import exports, testdata
 from eventloom.sources.raw_logs import file_inventory, list_files, log_date_of, read_raw
-from eventloom.sources.tables import clustered
+from eventloom.sources.tables import clustered, dates_of
 from eventloom.sources.workdir import fresh_folder
 from eventloom.streaming.ingest import ingest_stream
 
@@ -26,6 +26,13 @@ DEFECTS = {
 }
 
 
+# Users renamed in a warehouse.
+RENAMES = {"user1@example.com": "user2@example.com", "user3@example.com": "renamed"}
+
+# JSON text of a value with quotes, a comma, a line break and blanks at its start.
+HARD_TEXT = '  a \\\\"q\\\\", b\\\\n'
+
+
 class LoadCase:
     """A source folder, a warehouse and a checkpoint below one new folder."""
 
@@ -138,6 +145,42 @@ def ingest_late_data(spark: SparkSession, sf: str) -> DataFrame:
     return case.mart("user_summary")
 
 
+def user_remap_stored(spark: SparkSession, sf: str) -> DataFrame:
+    """User mart of a warehouse whose users were renamed between two loads."""
+    case = LoadCase(spark, "remap")
+    case.deliver(event_lines(spark, sf, "event_id % 3 > 0"))
+    case.run()
+    mapping = spark.createDataFrame(list(RENAMES.items()), "old_id string, new_id string")
+    apply_remap(spark, case.warehouse, mapping)
+    case.deliver(event_lines(spark, sf, "event_id % 3 = 0"))
+    case.run()
+    return case.mart("user_summary")
+
+
+def ingest_tool_mart(spark: SparkSession, sf: str) -> DataFrame:
+    """Tool mart after two loads that share dates, and a compaction between."""
+    case = LoadCase(spark, "tools")
+    case.deliver(event_lines(spark, sf, "event_id % 2 = 0"))
+    case.run()
+    compact_events(spark, case.warehouse, dates_of(case.warehouse.events(spark), "event_date"))
+    case.deliver(event_lines(spark, sf, "event_id % 2 = 1"))
+    case.run()
+    return case.mart("tool_summary")
+
+
+def export_csv_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Events exported as CSV and read back, with values that CSV must quote."""
+    path = fresh_folder(spark, "csv")
+    hard = F.regexp_replace("value", '"session_id":"', f'"session_id":"{HARD_TEXT}')
+    exports.export_csv(event_lines(spark, sf).select(hard.alias("value")), path)
+    columns = ("timestamp", "event_type", "user_id", "team_id", "project", "session_id", "tool_name",
+               "success", "is_mcp", "is_subagent", "is_command")
+    read = spark.read.schema(", ".join(f"{c} STRING" for c in columns)).option("header", True).option(
+        "escape", '"').option("multiLine", True).option("ignoreLeadingWhiteSpace", False).option(
+        "ignoreTrailingWhiteSpace", False).option("nullValue", "\u0000").csv(path)
+    return read.select("user_id", "session_id", "tool_name", "timestamp").fillna("")
+
+
 def file_inventory_by_day(spark: SparkSession, sf: str) -> DataFrame:
     """File inventory before and after a second delivery, summed per log date."""
     case = LoadCase(spark, "inventory")

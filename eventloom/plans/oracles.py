@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from eventloom.plans.ingest_cases import DEFECTS
-from eventloom.schema import LIMIT_PHRASES, NO_PROJECT, STOP_LABELS, WEEKDAY_LABELS
+from eventloom.plans.ingest_cases import DEFECTS, RENAMES
+from eventloom.schema import HOOK_INPUT, LIMIT_PHRASES, NO_PROJECT, PRIVATE_COLUMNS, STOP_LABELS, WEEKDAY_LABELS
 from eventloom.sources import testdata as td
 
 _TEAM = f"team_id = '{td.TEAM}'"
@@ -81,7 +81,7 @@ def _pct(part: str, whole: str) -> str:
 def _change(cur: str, prev: str) -> str:
     c, p = f"coalesce({cur}, 0)", f"coalesce({prev}, 0)"
     return (f"CASE WHEN {p} = 0 THEN CASE WHEN {c} > 0 THEN 100.0::DOUBLE ELSE 0.0::DOUBLE END"
-            f" ELSE round(CAST({c} - {p} AS DOUBLE) / {p} * 100, 1) END")
+            f" ELSE round_even(CAST({c} - {p} AS DOUBLE) / {p} * 100, 1) END")
 
 
 def _has_phrase(text: str) -> str:
@@ -207,12 +207,12 @@ def _roi_summary() -> str:
         total = f"greatest(coalesce({prefix}feat_total, 1), 1)"
         depth = " + ".join(f"CAST({get(col)} AS DOUBLE) / {total} * {w}::DOUBLE" for col, w in [
             ("skill_users", "0.3"), ("mcp_users", "0.3"), ("sa_users", "0.2"), ("cmd_users", "0.2")])
-        return f"""round({get("tool_execs")} * 2 / 60.0::DOUBLE, 1) AS {prefix}hours_saved,
- round(CAST({get("total_events")} AS DOUBLE) / greatest({get("active_users")}, 1), 1)
+        return f"""round_even({get("tool_execs")} * 2 / 60.0::DOUBLE, 1) AS {prefix}hours_saved,
+ round_even(CAST({get("total_events")} AS DOUBLE) / greatest({get("active_users")}, 1), 1)
    AS {prefix}events_per_user,
- round(CAST({get("tool_success")} AS DOUBLE) / greatest(coalesce({prefix}tool_total, 1), 1) * 100, 1)
+ round_even(CAST({get("tool_success")} AS DOUBLE) / greatest(coalesce({prefix}tool_total, 1), 1) * 100, 1)
    AS {prefix}tool_success_pct,
- round(({depth}) * 100, 1) AS {prefix}depth_score"""
+ round_even(({depth}) * 100, 1) AS {prefix}depth_score"""
 
     names = ["hours_saved", "events_per_user", "tool_success_pct", "depth_score"]
     changes = ", ".join(f"{_change(n, 'prev_' + n)} AS {n}_change" for n in names)
@@ -222,7 +222,7 @@ def _roi_summary() -> str:
  {annual} AS annual_hours, {annual} / 160.0::DOUBLE AS annual_person_months,
  hours_saved / active AS hours_per_user, {scaled} AS scaled_annual_hours,
  {scaled} / 160.0::DOUBLE AS scaled_person_months,
- CAST(round(CAST(active AS DOUBLE) / total * 100) AS BIGINT) AS active_pct
+ CAST(round_even(CAST(active AS DOUBLE) / total * 100, 0) AS BIGINT) AS active_pct
  FROM (SELECT greatest(active_users, 1) AS active, greatest(total_users, 1) AS total,
  {figures("")}, {figures("prev_")} FROM ({_roi()}))"""
 
@@ -234,7 +234,7 @@ def _cards() -> str:
     rows = []
     for name, cur, prev in cards:
         change = _change(cur, prev) if prev else "0.0::DOUBLE"
-        share = ("CAST(round(CAST(active_users AS DOUBLE) / greatest(total_users, 1) * 100) AS BIGINT)"
+        share = ("CAST(round_even(CAST(active_users AS DOUBLE) / greatest(total_users, 1) * 100, 0) AS BIGINT)"
                  if name == "active_users" else "CAST(NULL AS BIGINT)")
         rows.append(f"SELECT '{name}' AS card, coalesce({cur}, 0) AS value, {change} AS change_pct,"
                     f" {share} AS penetration_pct FROM kpi")
@@ -248,7 +248,7 @@ def _insights() -> str:
     return f""", kpi AS ({_KPI}),
 f AS (SELECT {_change("msg_count", "prev_msg")} AS msg, {_change("mcp_count", "prev_mcp")} AS mcp,
  coalesce(limit_hits, 0) AS hits,
- round(CAST(active_users AS DOUBLE) / greatest(total_users, 1) * 100) AS pct FROM kpi)
+ round_even(CAST(active_users AS DOUBLE) / greatest(total_users, 1) * 100, 0) AS pct FROM kpi)
 SELECT 1 AS position, CASE WHEN msg >= 0 THEN 'trend-up' ELSE 'trend-down' END AS style,
  CASE WHEN msg >= 0 THEN 'TREND UP' ELSE 'TREND DOWN' END AS tag, msg AS value,
  'watch_trend' AS advice FROM f
@@ -268,7 +268,7 @@ def _adoption_long() -> str:
         for name, col in [("Skill", "skill_users"), ("MCP", "mcp_users"),
                           ("Subagent", "subagent_users"), ("Command", "command_users")])
     return f""", ad AS ({_ADOPTION})
-SELECT *, CAST(round(CAST(users AS DOUBLE) / total_users * 100) AS BIGINT) AS feature_pct,
+SELECT *, CAST(round_even(CAST(users AS DOUBLE) / total_users * 100, 0) AS BIGINT) AS feature_pct,
  total_users - users AS non_adopters FROM ({rows})"""
 
 
@@ -357,6 +357,10 @@ def _doc_stop(lines: int) -> str:
     return f"SELECT path, CASE WHEN {_has_phrase(tail)} THEN 'usage_limit' ELSE 'normal' END AS stop_reason FROM docs"
 
 
+# Members of the document that a hook reads, in its order; absent ones are left out.
+_STDIN = ", ".join(f"'{name}', {name}" for name in HOOK_INPUT)
+
+
 def _hooks_payload() -> str:
     tool = "event_type IN ('PreToolUse', 'PostToolUse', 'PostToolUseFailure')"
     agent = "event_type IN ('SubagentStart', 'SubagentStop')"
@@ -377,6 +381,7 @@ def _hooks_payload() -> str:
         f"{text('session_id')} AS session_id", f"{text('transcript_path')} AS transcript_path",
         "cwd", f"{text('permission_mode')} AS permission_mode",
         "coalesce(hook_event_name, event_type) AS hook_event_name",
+        f"CAST(json_merge_patch('{{}}', json_object({_STDIN})) AS VARCHAR) AS raw_input",
         only(tool, text("tool_name", "unknown"), "tool_name"),
         only(tool, text("tool_use_id"), "tool_use_id"),
         only(tool, text("tool_input", "{}"), "tool_input"),
@@ -577,7 +582,7 @@ def oracle_sql() -> dict[str, str]:
         "session_cards": _ev(
             "SELECT total_sessions, coalesce(avg_duration_min, 0.0::DOUBLE) AS avg_duration_min,"
             " normal_stopped, coalesce(limit_stopped, 0) AS limit_stopped, CASE WHEN total_sessions > 0"
-            f" THEN {_pct('limit_stopped', 'total_sessions')} ELSE 0.0::DOUBLE END AS limit_stop_pct"
+            f" THEN {_pct('limit_stopped', 'total_sessions').replace('round(', 'round_even(')} ELSE 0.0::DOUBLE END AS limit_stop_pct"
             f" FROM ({_SESSION_KPI})"),
         "roi_summary": _mart(_roi_summary()),
         "tool_tiers": _mart(
@@ -617,26 +622,21 @@ def oracle_sql() -> dict[str, str]:
             f" FROM ({_PROJECTS})"),
         # normalisation
         "classify_tools": f"WITH {_HOOKS} SELECT event_id, tool_name,"
-                          f" {_flags('tool_name', 'tool_input')} FROM hk WHERE tool_name IS NOT NULL",
+                          f" {_flags('tool_name', 'tool_input')} FROM"
+                          " (SELECT * REPLACE (coalesce(tool_name, 'unknown') AS tool_name) FROM hk)",
         "limit_phrases": f"WITH {_DOCS} SELECT path, {_has_phrase('value')} AS is_usage_limit FROM docs",
         "stop_reason_tail": (
             f"WITH l AS (SELECT conv_id, turn, {td.TURN_LINE} AS line, row_number() OVER"
             " (PARTITION BY conv_id ORDER BY turn DESC) AS back FROM conversations),"
             " t AS (SELECT conv_id, string_agg(line, ' ' ORDER BY turn) AS tail FROM l"
-            f" WHERE back <= 3 GROUP BY 1) SELECT conv_id, CASE WHEN {_has_phrase('tail')}"
+            f" WHERE back <= 30 GROUP BY 1) SELECT conv_id, CASE WHEN {_has_phrase('tail')}"
             " THEN 'usage_limit' ELSE 'normal' END AS stop_reason FROM t"),
-        "stop_reason_text": f"WITH {_DOCS} {_doc_stop(3)}",
+        "stop_reason_text": f"WITH {_DOCS} {_doc_stop(30)}",
         "pseudonymize": f"WITH {_HOOKS} SELECT event_id, {_person(False)} AS user_id,"
                         f" {_person(True)} AS anonymous_id FROM hk",
         "normalize_hooks": _hooks_payload(),
         "project_names": f"WITH {_HOOKS} SELECT event_id, {_PROJECT} AS project FROM hk",
-        "redact": (
-            f"WITH {_HOOKS} SELECT event_id, event_type, CASE WHEN event_type IN ('PreToolUse',"
-            " 'PostToolUse', 'PostToolUseFailure') THEN coalesce(tool_name, 'unknown') END AS tool_name,"
-            " CASE WHEN event_type = 'UserPromptSubmit' THEN"
-            " CAST(length(coalesce(prompt, '')) AS BIGINT) END AS prompt_length,"
-            " CASE WHEN event_type = 'PostToolUse' THEN CAST(length(coalesce(tool_response, ''))"
-            " AS BIGINT) END AS output_length FROM hk"),
+        "redact": f"SELECT * EXCLUDE ({', '.join(PRIVATE_COLUMNS)}) FROM ({_hooks_payload()})",
         "validate_events": _ev(
             "SELECT event_id, CASE WHEN r IS NULL THEN coalesce(project_name, '') ELSE project_name END"
             " AS project, r AS reject_reason FROM (SELECT *, CASE WHEN event_id % 5 = 0"
@@ -651,6 +651,16 @@ def oracle_sql() -> dict[str, str]:
             "raw_events": "(SELECT event_id FROM events UNION ALL SELECT event_id FROM events)",
             "events": "ev", "daily_summary": "daily", "user_summary": "usr", "tool_summary": "tls"})),
         "ingest_upsert": _mart("SELECT * FROM daily"),
+        "ingest_tool_mart": _mart("SELECT * FROM tls"),
+        "user_remap_stored": (
+            f"WITH {_EV}, moved AS (SELECT * REPLACE (CASE WHEN event_id % 3 > 0 THEN"
+            f" {_case_map('user_id', RENAMES)} ELSE user_id END AS user_id) FROM ev)"
+            f" SELECT event_date AS summary_date, user_id, team_id, {_MART_COUNTS},"
+            " max(event_timestamp) AS last_active_at FROM moved GROUP BY ALL"),
+        "export_csv": _ev(
+            "SELECT user_id, concat('  a \"q\", b', chr(10), session_id) AS session_id,"
+            " coalesce(tool_name, '') AS tool_name,"
+            f" strftime(event_timestamp - INTERVAL 9 HOUR, {_ISO}) AS timestamp FROM ev"),
         "ingest_late_data": _mart("SELECT * FROM usr"),
         "file_inventory": _ev(
             "SELECT event_date AS log_date, CAST(count(*) AS BIGINT) AS event_count,"

@@ -16,8 +16,9 @@ from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from eventloom.operators.clean import key_lines, split_bad, typed_events
+from eventloom.operators.clean import key_lines, remap_users, split_bad, typed_events
 from eventloom.operators.marts import marts_from_base, usage_base
 from eventloom.schema import (
     DAILY_SCHEMA,
@@ -28,7 +29,16 @@ from eventloom.schema import (
     USER_SCHEMA,
 )
 from eventloom.sources.raw_logs import read_raw
-from eventloom.sources.tables import append_raw, date_filter, read_table, write_events, write_mart
+from eventloom.sources.tables import (
+    append_raw,
+    dates_of,
+    on_dates,
+    read_table,
+    rewrite_events,
+    write_events,
+    write_mart,
+)
+from eventloom.sources.workdir import fresh_folder
 
 _MARTS = {"daily_summary": DAILY_SCHEMA, "user_summary": USER_SCHEMA, "tool_summary": TOOL_SCHEMA}
 
@@ -56,7 +66,7 @@ class Warehouse:
     def load(self, spark: SparkSession, load_id: str) -> DataFrame:
         """Keyed lines of one load; only its own folder is listed."""
         folder = f"{self.raw_path}/load_id={load_id}"
-        return read_table(spark, folder, RAW_SCHEMA, base_path=self.raw_path)
+        return read_table(spark, folder, RAW_SCHEMA, base_path=self.raw_path, required=True)
 
     def events(self, spark: SparkSession) -> DataFrame:
         return read_table(spark, self.events_path, EVENTS_SCHEMA)
@@ -107,12 +117,12 @@ def load_lines(lines: DataFrame, warehouse: Warehouse, load_id: str) -> None:
     append_raw(key_lines(lines), warehouse.raw_path, load_id)
     # From here on everything reads the stored load, not the source files.
     good, _ = split_bad(warehouse.load(spark, load_id))
-    touched = date_filter(good, "event_date")
-    if touched is None:
+    touched = dates_of(good, "event_date")
+    if touched.isEmpty():
         return
-    known = warehouse.events(spark).filter(touched)
+    known = on_dates(warehouse.events(spark), touched, "event_date")
     write_events(typed_events(insert_new(known, good)), warehouse.events_path)
-    refresh_marts(warehouse.events(spark).filter(touched), warehouse)
+    refresh_marts(on_dates(warehouse.events(spark), touched, "event_date"), warehouse)
 
 
 def ingest_batch(spark: SparkSession, source: str, warehouse: Warehouse,
@@ -123,6 +133,33 @@ def ingest_batch(spark: SparkSession, source: str, warehouse: Warehouse,
     return load_id
 
 
+def compact_events(spark: SparkSession, warehouse: Warehouse, dates: DataFrame) -> None:
+    """Rewrite the events of ``dates`` (``event_date``) as few files clustered by team.
+
+    Each load appends files to the days it touches; this merges them.
+    """
+    rewrite_events(on_dates(warehouse.events(spark), dates, "event_date"), warehouse.events_path)
+
+
+def apply_remap(spark: SparkSession, warehouse: Warehouse, mapping: DataFrame) -> None:
+    """Change user ids (``old_id``, ``new_id``) in the stored events and their marts.
+
+    Only dates on which a renamed user occurs are rewritten, and their marts
+    are rebuilt from the renamed events, so a later load of such a date keeps
+    the new ids of what is stored.  An id with two targets raises.
+    """
+    events = warehouse.events(spark)
+    renamed = events.join(mapping.select(F.col("old_id").alias("user_id")), "user_id", "left_semi")
+    # Stored first: the rewrite would otherwise change what the dates are read from.
+    folder = fresh_folder(spark, "dates")
+    dates_of(renamed, "event_date").write.parquet(folder)
+    dates = spark.read.schema("event_date date").parquet(folder)
+    if dates.isEmpty():
+        return
+    rewrite_events(remap_users(on_dates(events, dates, "event_date"), mapping), warehouse.events_path)
+    refresh_marts(on_dates(warehouse.events(spark), dates, "event_date"), warehouse)
+
+
 def rebuild_marts(spark: SparkSession, warehouse: Warehouse) -> None:
     """Rebuild every mart date from all clean events."""
     refresh_marts(warehouse.events(spark), warehouse)

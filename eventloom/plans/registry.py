@@ -44,7 +44,7 @@ def _on_marts(op: Callable[[DataFrame, DataFrame, DataFrame], DataFrame]) -> Que
 
 
 def _classify_tools(spark: SparkSession, sf: str) -> DataFrame:
-    hooks = testdata.hook_records(spark, sf).filter("tool_name IS NOT NULL")
+    hooks = testdata.hook_records(spark, sf).fillna({"tool_name": "unknown"})
     return N.classify_tool(hooks, "tool_name", "tool_input").select(
         "event_id", "tool_name", "categories.*"
     )
@@ -58,12 +58,12 @@ def _limit_phrases(spark: SparkSession, sf: str) -> DataFrame:
 
 def _stop_reason_tail(spark: SparkSession, sf: str) -> DataFrame:
     return N.stop_reason_by_line(
-        testdata.transcript_turns(spark, sf), "conv_id", ["turn"], "line", tail=3
+        testdata.transcript_turns(spark, sf), "conv_id", ["turn"], "line"
     )
 
 
 def _stop_reason_text(spark: SparkSession, sf: str) -> DataFrame:
-    return N.stop_reason(testdata.transcript_texts(spark, sf), lines=3)
+    return N.stop_reason(testdata.transcript_texts(spark, sf))
 
 
 def _pseudonymize(spark: SparkSession, sf: str) -> DataFrame:
@@ -88,18 +88,19 @@ def _payloads(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _normalize_hooks(spark: SparkSession, sf: str) -> DataFrame:
-    flat = _payloads(spark, sf).drop("raw_input")
+    return _flat_flags(_payloads(spark, sf))
+
+
+def _flat_flags(payloads: DataFrame) -> DataFrame:
     flags = ("skill", "subagent", "mcp", "command", "file_operation")
-    return flat.select(
-        *[c for c in flat.columns if c != "categories"],
+    return payloads.select(
+        *[c for c in payloads.columns if c != "categories"],
         *[F.col(f"categories.{name}").alias(f"cat_{name}") for name in flags],
     )
 
 
 def _redact(spark: SparkSession, sf: str) -> DataFrame:
-    return N.redact(_payloads(spark, sf)).select(
-        "event_id", "event_type", "tool_name", "prompt_length", "output_length"
-    )
+    return _flat_flags(N.redact(_payloads(spark, sf)))
 
 
 def _validate_events(spark: SparkSession, sf: str) -> DataFrame:
@@ -212,7 +213,7 @@ def queries() -> dict[str, Query]:
         "user_efficiency": _on_marts(lambda d, u, t: Q.user_efficiency(u, *at)),
         "weekly_feature_mix": _on_marts(lambda d, u, t: Q.weekly_feature_mix(d, TEAM, 30, AS_OF)),
         # service, command line and admin statistics
-        "api_stats": _on_events(lambda e: C.api_stats(e, *at)),
+        "api_stats": _on_events(lambda e: C.api_stats(e, A.user_summary(e), *at)),
         "api_users": _on_events(lambda e: C.api_users(e, *at)),
         "api_tools": _on_events(lambda e: C.api_tools(e, *at)),
         "api_timeline": _on_events(lambda e: C.api_timeline(e, *at)),
@@ -255,6 +256,9 @@ def queries() -> dict[str, Query]:
         "ingest_forced_reload": ingest_cases.ingest_forced_reload,
         "ingest_upsert": ingest_cases.ingest_upsert,
         "ingest_late_data": ingest_cases.ingest_late_data,
+        "ingest_tool_mart": ingest_cases.ingest_tool_mart,
+        "user_remap_stored": ingest_cases.user_remap_stored,
+        "export_csv": ingest_cases.export_csv_rows,
         "file_inventory": ingest_cases.file_inventory_by_day,
         "path_provenance": _path_provenance,
         "jsonl_by_day": ingest_cases.jsonl_by_day,

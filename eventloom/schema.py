@@ -123,3 +123,19 @@ TOOL_SCHEMA = T.StructType([
 LEDGER_SCHEMA = T.StructType([
     T.StructField("source_file", T.StringType()),
 ])
+
+# The document a hook reads from its standard input; it holds no identity.
+HOOK_INPUT = (
+    "session_id", "transcript_path", "cwd", "permission_mode", "hook_event_name", "tool_name",
+    "tool_use_id", "tool_input", "tool_response", "error", "is_interrupt", "prompt", "source", "model",
+    "agent_type", "reason", "agent_id", "agent_transcript_path", "stop_hook_active",
+    "last_assistant_message", "message", "title", "notification_type", "trigger",
+    "custom_instructions",
+)
+
+# Payload columns that redaction drops: free text, and paths, which name users.
+PRIVATE_COLUMNS = (
+    "prompt", "tool_input", "tool_response", "message", "title", "error",
+    "last_assistant_message", "custom_instructions", "raw_input",
+    "cwd", "transcript_path", "agent_transcript_path",
+)

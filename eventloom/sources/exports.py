@@ -38,8 +38,13 @@ def valid_lines(raw: DataFrame) -> DataFrame:
 
 
 def export_json(raw: DataFrame, path: str) -> None:
-    """Write every readable event as one JSON line."""
-    valid_lines(raw).write.mode("overwrite").text(path)
+    """Write every readable event as one JSON line, in the order of its file's name if given."""
+    if "source_file" not in raw.columns:
+        valid_lines(raw).write.mode("overwrite").text(path)
+        return
+    # Range partitions are numbered in order, and so are the files written from them.
+    ordered = raw.orderBy("source_file")
+    valid_lines(ordered).write.mode("overwrite").text(path)
 
 
 def export_flat(raw: DataFrame, *carry: str) -> DataFrame:
@@ -66,4 +71,13 @@ def export_flat(raw: DataFrame, *carry: str) -> DataFrame:
 
 
 def export_csv(raw: DataFrame, path: str) -> None:
-    export_flat(raw).write.mode("overwrite").csv(path, header=True, emptyValue="")
+    """Write the flat columns as CSV that standard readers read back unchanged.
+
+    Quotes are doubled and blanks at the edges of a value stay.
+    """
+    (
+        export_flat(raw).write.mode("overwrite")
+        .option("escape", '"').option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+        .csv(path, header=True, emptyValue="")
+    )

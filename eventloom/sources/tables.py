@@ -2,26 +2,20 @@
 
 from __future__ import annotations
 
-from datetime import date
-
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from eventloom.functions.clock import date_lit
-
-# Above this many dates a filter states their range instead of a list.
-MAX_LISTED_DATES = 400
-
+from eventloom.sources.workdir import fresh_folder
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType,
-               base_path: str | None = None) -> DataFrame:
-    """A parquet table; empty while nothing has been written yet."""
+               base_path: str | None = None, required: bool = False) -> DataFrame:
+    """A parquet table; empty while nothing has been written yet, unless ``required``."""
     try:
         return spark.read.schema(schema).option("basePath", base_path or path).parquet(path)
     except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
+        if required or error.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], schema)
 
@@ -54,6 +48,24 @@ def write_events(events: DataFrame, path: str) -> None:
     )
 
 
+def rewrite_events(events: DataFrame, path: str) -> None:
+    """Replace the dates that occur in ``events``, few large files to a day.
+
+    The rows are written beside the table first, since they are usually read
+    from the dates they replace.
+    """
+    spark = events.sparkSession
+    aside = fresh_folder(spark, "rewrite")
+    clustered(events, "event_date", "team_id").write.partitionBy("event_date").parquet(aside)
+    (
+        clustered(read_table(spark, aside, events.schema, required=True), "event_date", "team_id")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("event_date")
+        .parquet(path)
+    )
+
+
 def write_mart(mart: DataFrame, path: str) -> None:
     """Replace the dates that occur in ``mart``; other dates stay."""
     (
@@ -65,22 +77,15 @@ def write_mart(mart: DataFrame, path: str) -> None:
     )
 
 
-def date_filter(rows: DataFrame, column: str) -> Column | None:
-    """A literal filter on ``column`` that covers every date in ``rows``.
+def dates_of(rows: DataFrame, column: str) -> DataFrame:
+    """The distinct dates of a column, without null."""
+    return rows.select(F.col(column)).filter(F.col(column).isNotNull()).distinct()
+
+
+def on_dates(rows: DataFrame, dates: DataFrame, column: str) -> DataFrame:
+    """Rows on any of ``dates``.
 
-    At most MAX_LISTED_DATES + 1 dates reach the driver.  More dates than that
-    become their range, a superset that is just as right for anti joins and
-    for rebuilding marts.  None when there are no dates.
+    A semi join on the partition column: Spark prunes the partitions by the
+    dates when it runs, however many they are, and none reach the driver here.
     """
-    dates = rows.select(F.col(column).alias("d")).filter("d IS NOT NULL").distinct()
-    found = [row.d for row in dates.limit(MAX_LISTED_DATES + 1).collect()]
-    if not found:
-        return None
-    if len(found) <= MAX_LISTED_DATES:
-        return F.col(column).isin([date_lit(d) for d in sorted(found)])
-    bounds = dates.agg(F.min("d").alias("lo"), F.max("d").alias("hi")).first()
-    return _between(column, bounds.lo, bounds.hi)
-
-
-def _between(column: str, low: date, high: date) -> Column:
-    return F.col(column).between(date_lit(low), date_lit(high))
+    return rows.join(dates, column, "left_semi").select(*rows.columns)

@@ -23,11 +23,16 @@ def _load_id(batch: DataFrame, batch_id: int) -> str:
 
 def start_ingest(spark: SparkSession, source: str, warehouse: Warehouse, checkpoint: str,
                  glob: str | None = None, max_files: int | None = None,
-                 every: str | None = None) -> StreamingQuery:
-    """Start loading new files; once through what is there, or ``every`` interval."""
+                 every: str | None = None, loaded: list[int] | None = None) -> StreamingQuery:
+    """Start loading new files; once through what is there, or ``every`` interval.
+
+    The numbers of finished batches are added to ``loaded``.
+    """
 
     def run(batch: DataFrame, batch_id: int) -> None:
         load_lines(batch, warehouse, _load_id(batch, batch_id))
+        if loaded is not None:
+            loaded.append(batch_id)
 
     trigger = {"processingTime": every} if every else {"availableNow": True}
     return (
@@ -42,6 +47,7 @@ def start_ingest(spark: SparkSession, source: str, warehouse: Warehouse, checkpo
 def ingest_stream(spark: SparkSession, source: str, warehouse: Warehouse, checkpoint: str,
                   glob: str | None = None, max_files: int | None = None) -> int:
     """Load all new files, wait for the end, and return the batches run."""
-    query = start_ingest(spark, source, warehouse, checkpoint, glob, max_files)
+    loaded: list[int] = []
+    query = start_ingest(spark, source, warehouse, checkpoint, glob, max_files, loaded=loaded)
     query.awaitTermination()
-    return sum(1 for progress in query.recentProgress if progress["numInputRows"] > 0)
+    return len(set(loaded))

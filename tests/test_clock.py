@@ -35,6 +35,33 @@ def test_presets_and_cap():
     assert clock.period_days("All") == 365
     assert clock.cap_days(365) == 90
     assert clock.cap_days(7) == 7
+    assert clock.cap_days(365, 400) == 365 and clock.cap_days(365, None) == 365
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York", "Europe/Berlin"])
+def test_the_session_zone_decides_nothing(spark, zone):
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        for text, want in {
+            "2024-11-03T06:30:00+00:00": "2024-11-03 15:30:00", "2024-11-03T06:30:00": "2024-11-03 15:30:00",
+            "2024-11-03 06:30:00.25Z": "2024-11-03 15:30:00.25", "2024-03-10": "2024-03-10 09:00:00",
+            "2024-03-10T02:30:00": "2024-03-10 11:30:00", "2024-03-31T02:30:00-05:00": "2024-03-31 16:30:00",
+            "1969-12-31T23:59:59.5+00:00": "1970-01-01 08:59:59.5",
+        }.items():
+            got = value(spark, clock.event_time(F.col("x")).cast("string"), x=text)
+            assert got == want, (zone, text)
+        assert value(spark, clock.event_time(F.col("x")), x="soon") is None
+        assert value(spark, clock.minutes_between(
+            ts("2024-03-10 01:30:00"), ts("2024-03-10 03:30:00"))) == 120
+        assert value(spark, clock.minutes_between(
+            ts("2024-11-03 00:59:59"), ts("2024-11-03 02:00:00"))) == 61
+        assert value(spark, clock.time_ago(
+            ts("2024-03-10 01:30:00"), "2024-03-10 03:30:00")) == "2 hours"
+        assert value(spark, clock.iso_utc(
+            ts("2024-03-10 02:30:00.5"))) == "2024-03-10T02:30:00.500000+00:00"
+        assert value(spark, clock.iso_utc(ts("2024-03-10 02:30:00"))) == "2024-03-10T02:30:00.000000+00:00"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
 @pytest.mark.parametrize("text,want", [

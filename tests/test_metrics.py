@@ -25,7 +25,7 @@ def test_direction(spark, change, want):
     assert value(spark, M.change_direction(F.lit(change))) == want
 
 
-@pytest.mark.parametrize("part,whole,want", [(1, 3, 33), (0, 0, 0), (None, None, 0), (5, 5, 100), (1, 8, 13)])
+@pytest.mark.parametrize("part,whole,want", [(1, 3, 33), (0, 0, 0), (None, None, 0), (5, 5, 100), (1, 8, 12), (3, 8, 38)])
 def test_whole_percent(spark, part, whole, want):
     assert value(spark, M.whole_percent(long(part), long(whole))) == want
 
@@ -40,6 +40,14 @@ def test_percent_and_ratio_of_zero(spark):
     assert value(spark, M.ratio(long(7), long(2))) == 3.5
 
 
+def test_dashboard_figures_round_ties_to_even(spark):
+    assert value(spark, M.whole_percent(long(1), long(8))) == 12
+    assert value(spark, M.pct_change(long(17), long(16))) == 6.2
+    assert value(spark, M.percent(long(1), long(16))) == 6.3
+    assert value(spark, M.percent(long(1), long(16), ties="even")) == 6.2
+    assert value(spark, M.limit_stop_pct(long(1), long(16))) == 6.2
+
+
 def test_depth_score(spark):
     args = [long(n) for n in (5, 5, 10, 0, 10)]
     assert value(spark, M.depth_score(*args)) == 50.0

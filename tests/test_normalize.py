@@ -88,6 +88,30 @@ def test_anonymous_users(spark):
     assert len(row["user_id"]) == 16 and "ann" not in row["user_id"]
 
 
+def test_anonymous_payloads_hold_no_identity(spark):
+    df = N.normalize_hooks(hooks(
+        spark, {"username": "dev-ann", "hostname": "host-ann",
+                "project_dir": "/home/dev-ann/web", "session_id": "s"}), anonymize=True)
+    text = N.to_jsonl(df).first().value
+    assert "ann" not in text
+    assert "ann" not in str(clean(key_lines(N.to_jsonl(df))).first().asDict())
+
+
+def test_documents_are_nested_in_json_lines(spark):
+    df = N.normalize_hooks(hooks(spark, {
+        "event_type": "PostToolUse", "tool_name": "Bash", "tool_input": '{"k": 1}', "tool_response": "plain"}))
+    doc = json.loads(N.to_jsonl(df).first().value)
+    assert doc["tool_input"] == {"k": 1} and doc["tool_response"] == "plain"
+    assert doc["raw_input"]["tool_name"] == "Bash"
+
+
+def test_a_transcript_listed_twice_counts_once(spark):
+    df = hooks(spark, {"event_type": "Stop", "transcript_path": "t"})
+    twice = spark.createDataFrame([("t", "usage limit reached"), ("t", "fine")], "path string, value string")
+    rows = records(N.normalize_hooks(df, twice))
+    assert len(rows) == 1 and rows[0]["stop_reason"] == "usage_limit"
+
+
 def test_validation(spark):
     df = spark.createDataFrame(
         [("Stop", "t", "u", "team", None), (None, "t", None, "team", "p"), ("Stop", "t", "u", None, "p")],

@@ -1,11 +1,20 @@
+import datetime as dt
 import json
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from eventloom.operators import marts as A
 from eventloom.plans import pipeline as P
-from eventloom.plans.pipeline import Warehouse, ingest_batch, load_lines, rebuild_marts
+from eventloom.plans.pipeline import (
+    Warehouse,
+    apply_remap,
+    compact_events,
+    ingest_batch,
+    load_lines,
+    rebuild_marts,
+)
 from eventloom.sources import tables
 from eventloom.streaming.ingest import ingest_stream
 from frames import records
@@ -167,12 +176,7 @@ def test_rebuild_equals_incremental(site, spark):
     site.check_marts()
 
 
-def test_many_dates_use_a_range(site, spark, monkeypatch):
-    monkeypatch.setattr(tables, "MAX_LISTED_DATES", 2)
-    days = spark.sql("SELECT explode(sequence(date'2024-01-01', date'2024-01-05')) AS event_date")
-    condition = tables.date_filter(days, "event_date")
-    assert days.filter(condition).count() == 5
-    assert "IN" not in str(condition)
+def test_loads_over_many_dates_and_days_between(site):
     site.drop("a.jsonl", *[line(d) for d in range(1, 6)])
     site.run()
     site.drop("b.jsonl", *[line(d, "bob") for d in range(1, 6, 2)])
@@ -181,9 +185,41 @@ def test_many_dates_use_a_range(site, spark, monkeypatch):
     site.check_marts()
 
 
-def test_no_dates_give_no_filter(spark):
-    empty = spark.createDataFrame([], "event_date date")
-    assert tables.date_filter(empty, "event_date") is None
+def test_a_load_without_dates_changes_nothing(site):
+    site.drop("a.jsonl", "not json")
+    site.run()
+    assert site.count() == 0
+
+
+def test_a_stored_load_must_exist(site, spark):
+    with pytest.raises(AnalysisException):
+        site.house.load(spark, "never-written")
+
+
+def test_compaction_keeps_rows_and_marts(site, spark):
+    for name in "abcd":
+        site.drop(f"{name}.jsonl", line(1, name), line(2, name))
+        site.run()
+    before = sorted(tuple(r) for r in site.house.events(spark).drop("received_at").collect())
+    compact_events(spark, site.house, spark.createDataFrame([(dt.date(2024, 1, 1),)], "event_date date"))
+    after = sorted(tuple(r) for r in site.house.events(spark).drop("received_at").collect())
+    assert before == after and len(after) == 8
+    site.check_marts()
+
+
+def test_remap_of_stored_tables_survives_a_later_load(site, spark):
+    site.drop("a.jsonl", line(1, "ann"), line(2, "bob"), line(3, "cid"))
+    site.run()
+    mapping = spark.createDataFrame([("ann", "zoe"), ("cid", "zoe")], "old_id string, new_id string")
+    apply_remap(spark, site.house, mapping)
+    site.drop("b.jsonl", line(1, "bob"))
+    site.run()
+    users = sorted(r.user_id for r in site.house.events(spark).collect())
+    assert users == ["bob", "bob", "zoe", "zoe"]
+    site.check_marts()
+    twice = spark.createDataFrame([("bob", "x"), ("bob", "y")], "old_id string, new_id string")
+    with pytest.raises(Exception, match="two targets"):
+        apply_remap(spark, site.house, twice)
 
 
 def test_a_large_day_is_split_over_several_files(spark, tmp_path):

@@ -2,12 +2,14 @@
 
 import pytest
 
-import __spark_entry__ as driver
 from eventloom.operators import dashboard as Q
+from eventloom.operators import marts as A
 from eventloom.operators import normalize as N
 from eventloom.operators import service_stats as C
+from eventloom.operators import views as V
 from eventloom.operators.clean import key_lines, split_bad, typed_events
 from eventloom.plans import pipeline as P
+from eventloom.plans import registry as driver
 from eventloom.plans.ingest_cases import LoadCase, event_lines
 from eventloom.sources import tables
 from eventloom.sources import testdata as td
@@ -55,9 +57,24 @@ def test_previous_period_prunes_marts(spark, house):
 
 
 def test_marts_never_see_the_whole_history_on_a_load(spark, house):
-    touched = tables.date_filter(house.events(spark).filter("event_date = date'2024-01-05'"), "event_date")
-    text = plan(house.events(spark).filter(touched))
-    assert "PartitionFilters: [isnotnull(event_date" in text and "2024-01-05" in text
+    touched = tables.dates_of(house.events(spark).filter("event_date = date'2024-01-05'"), "event_date")
+    text = plan(tables.on_dates(house.events(spark), touched, "event_date"))
+    assert "dynamicpruning" in text or text.count("2024-01-05") >= 2
+
+
+@pytest.mark.parametrize("build", [
+    V.kpi_metrics, V.tool_ranking, V.overview_daily, V.tool_stats_daily, V.feature_adoption_daily,
+    A.daily_summary, A.user_summary, A.tool_summary])
+def test_views_and_marts_prune_by_their_date(spark, house, build):
+    frame = build(house.events(spark))
+    day = "event_date" if "event_date" in frame.columns else "summary_date"
+    text = plan(frame.filter(f"{day} = date'2024-01-05'"))
+    assert "PartitionFilters: [isnotnull(event_date" in text
+
+
+def test_service_figures_read_two_periods(spark, house):
+    text = plan(C.api_stats(house.events(spark), house.mart(spark, "user_summary"), *AT))
+    assert "PartitionFilters: [isnotnull(event_date" in text
 
 
 def test_each_line_is_parsed_once(spark, house):

@@ -2,10 +2,11 @@ import pytest
 
 import __spark_entry__ as driver
 from compare import connect, diff
+from eventloom.plans import oracles, registry
 
 SF = "/root/testdata/sf0.001"
-QUERIES = driver.queries()
-ORACLES = driver.oracle_sql()
+QUERIES = registry.queries()
+ORACLES = oracles.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -15,6 +16,7 @@ def con():
 
 def test_every_query_has_checking_sql():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(driver.queries()) and set(ORACLES) <= set(driver.oracle_sql())
 
 
 def test_entry(spark):

@@ -1,6 +1,7 @@
 import datetime as dt
 
 from eventloom.operators import service_stats as C
+from eventloom.operators.marts import user_summary
 from eventloom.sources.testdata import AS_OF, TEAM
 from frames import by, events, one, records
 
@@ -13,7 +14,7 @@ def test_api_counts_subagents_by_stop_event(spark):
                 {"event_timestamp": "2024-01-29 10:00:00", "is_mcp": True, "user_id": "bob"},
                 {"event_timestamp": "2023-01-29 10:00:00", "user_id": "old"},
                 {"is_mcp": True, "team_id": "other", "user_id": "eve"})
-    row = one(C.api_stats(df, *AT))
+    row = one(C.api_stats(df, user_summary(df), *AT))
     assert (row["subagent_count"], row["subagent_change"]) == (1, 100.0)
     assert (row["mcp_count"], row["mcp_change"]) == (0, -100.0)
     assert (row["active_users"], row["total_users"]) == (1, 3)
@@ -22,7 +23,7 @@ def test_api_counts_subagents_by_stop_event(spark):
 
 
 def test_api_stats_of_nothing(spark):
-    row = one(C.api_stats(events(spark), *AT))
+    row = one(C.api_stats(events(spark), user_summary(events(spark)), *AT))
     assert row["skill_count"] == 0 and row["skill_change"] == 0.0 and row["total_users"] == 0
 
 
