@@ -174,17 +174,15 @@ def near_pairs(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """
     sets = store(
         with_identity(texts(docs).select(signatures(F.col("text")).alias("keys")))
-        .filter("n > 0").dropDuplicates(["sig", "sketch"]), "signatures")
+        .filter("n > 0").dropDuplicates(["sig"]), "signatures")
     own = _length_class(F.col("n"), threshold)
     rows = postings(sets, threshold).withColumn(
         "part", F.explode(F.array(own, own - 1))).withColumn("key", F.xxhash64("key", "part"))
     pairs = store(candidates(rows.drop("part"), threshold), "pairs")
-    near = verified(pairs, sets.select("sig", "sketch", "keys"), threshold)
+    near = verified(pairs, sets, threshold)
     for side in "ab":
-        near = near.join(
-            sets.select(F.col("sig").alias(f"sig_{side}"), F.col("sketch").alias(f"sketch_{side}"),
-                        label(F.col("keys")).alias(f"fingerprint_{side}")),
-            [f"sig_{side}", f"sketch_{side}"])
+        near = near.join(sets.select(
+            F.col("sig").alias(side), label(F.col("keys")).alias(f"label_{side}")), side)
     return near.select(
-        F.least("fingerprint_a", "fingerprint_b").alias("fingerprint_a"),
-        F.greatest("fingerprint_a", "fingerprint_b").alias("fingerprint_b"), "similarity")
+        F.least("label_a", "label_b").alias("fingerprint_a"),
+        F.greatest("label_a", "label_b").alias("fingerprint_b"), "similarity")
