@@ -9,6 +9,7 @@ selects one.
 
 from __future__ import annotations
 
+import struct
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -20,7 +21,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer, pre_tokenizers
+from tokenizers import Tokenizer
 
 from eventloom.llm.common import slices, store, texts
 
@@ -35,6 +36,17 @@ _PARTS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
 _WIDE = regex.compile(r"[^\x20-\x7e\n¡-įı-ɏ]")
 
 
+def _packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
+def _byte_letters() -> dict[int, int]:
+    """Byte-level vocabularies write a byte without a visible Latin-1 sign as the next sign from 256 on."""
+    visible = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    hidden = [b for b in range(256) if b not in visible]
+    return {b: 256 + k for k, b in enumerate(hidden)}
+
+
 class ChunkEncoder(dict):
     """Ids, as little-endian 32-bit bytes, of a run of text without blanks.
 
@@ -47,25 +59,34 @@ class ChunkEncoder(dict):
         super().__init__()
         self.full = Tokenizer.from_file(path)
         self.model = self.full.model
-        self.level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.parts: dict[str, bytes] = {}
+        self.letters = _byte_letters()
 
     def __missing__(self, run: str) -> bytes:
         if len(self) >= _MEMO:
             self.clear()
-        if "<|" in run or _WIDE.search(run):
-            ids = self.full.encode(run, add_special_tokens=False).ids
+        if run.isascii() and run.isalpha():
+            packed = self.part(run.lower())
+        elif "<|" in run or _WIDE.search(run):
+            packed = _packed(self.full.encode(run, add_special_tokens=False).ids)
         else:
-            ids = []
-            for part in _PARTS.findall(run.lower()):
-                if not part.isascii():
-                    part = self.level.pre_tokenize_str(part)[0][0]
-                ids += [token.id for token in self.model.tokenize(part)]
-        packed = np.array(ids, dtype="<u4").tobytes()
+            packed = b"".join(map(self.part, _PARTS.findall(run.lower())))
         self[run] = packed
         return packed
 
+    def part(self, word: str) -> bytes:
+        """Ids of a lower-cased part that the vocabulary's splitting leaves whole."""
+        packed = self.parts.get(word)
+        if packed is None:
+            if len(self.parts) >= _MEMO:
+                self.parts.clear()
+            spelled = word if word.isascii() else word.encode().decode("latin-1").translate(self.letters)
+            packed = _packed([token.id for token in self.model.tokenize(spelled)])
+            self.parts[word] = packed
+        return packed
+
     def encode(self, text: str) -> bytes:
-        if text.isascii() and "<|" not in text:
+        if "<|" not in text and (text.isascii() or not _WIDE.search(text)):
             text = text.lower()
         return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
 
@@ -73,7 +94,7 @@ class ChunkEncoder(dict):
 def _piece_batches(path: str, size: int, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = ChunkEncoder(path)
-        end = np.array([end_id], dtype="<u4").tobytes()
+        end = _packed([end_id])
         for batch in slices(batches):
             rows: list[tuple] = []
             which: list[int] = []
