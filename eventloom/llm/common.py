@@ -15,6 +15,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def release(spark: SparkSession) -> None:
+    """Free the shuffle files of finished steps now.
+
+    Spark deletes them once the driver's collector has found their owners
+    dead, which it may not do for half an hour.
+    """
+    spark._jvm.System.gc()
+
+
 def store(df: DataFrame, label: str) -> DataFrame:
     """``df`` written to the shared folder and read back: lineage ends here.
 
@@ -24,6 +33,7 @@ def store(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = fresh_folder(spark, label)
     df.write.parquet(path)
+    release(spark)
     stored = spark.read.schema(df.schema).parquet(path)
     stored.stored_path = path
     return stored
