@@ -54,10 +54,8 @@ def shingles(text: bytes, width: int = SHINGLE) -> list[bytes]:
     return [line[a:b] for a, b in zip(starts, stops)]
 
 
-def fingerprint(text: bytes) -> int:
-    """Bit b is 1 when more than half of the shingle hashes have it."""
-    digest, seed = xxhash.xxh64_intdigest, SEED
-    hashes = np.array([digest(s, seed) for s in shingles(text)], dtype="<u8")
+def majority(hashes: np.ndarray) -> int:
+    """Bit b is 1 when more than half of the hashes have it."""
     if not hashes.size:
         return 0
     lanes = hashes.view(np.uint8).reshape(-1, 8) + _LANES
@@ -66,6 +64,12 @@ def fingerprint(text: bytes) -> int:
     return int(bits.view("<u8")[0])
 
 
+def fingerprint(text: bytes) -> int:
+    """The majority of the shingle hashes."""
+    digest, seed = xxhash.xxh64_intdigest, SEED
+    return majority(np.array([digest(s, seed) for s in shingles(text)], dtype="<u8"))
+
+
 def _fingerprint_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches):
         marks = np.array([fingerprint(t) for t in as_bytes(batch.column("text"))], dtype=np.uint64)
