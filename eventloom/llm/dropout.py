@@ -1,9 +1,12 @@
 """SentencePiece BPE with seeded merge-dropout, and its lossless decoding.
 
 Merges are taken from an agenda by score; a candidate that a keyed hash marks
-is skipped.  The key is the seed, a document's variant, the run of text and
-the place and pair of the merge, so a document always gets the same pieces
-under one seed and other pieces under another.
+is skipped.  The key is the seed, the document, the run's place in it and the
+candidate's turn on the agenda, so every occurrence of a word draws anew, and a
+document always gets the same pieces under one seed and others under another.
+
+What is remembered of a run depends on the run and its skipped turns only: the
+pieces after given skips when nothing else is skipped, and the turns they take.
 """
 
 from __future__ import annotations
@@ -25,11 +28,12 @@ from eventloom.llm.common import slices, texts
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
 SEED = 20
 RATE = 0.1
-# Documents are spread over so many independent skip patterns.
-VARIANTS = 4
+# Turns of a run that are drawn for a whole text at once, two per hash.
+_TURNS = 16
 _MEMO = 300_000
 _LONG = 200
 _NEVER = 1 << 60
+_STEP = 0x9E3779B97F4A7C15
 _WORD = (1 << 64) - 1
 _BLANK = "▁"
 # Stands for a block sign of the text; no piece contains it.
@@ -37,6 +41,13 @@ _LITERAL = "\ud800"
 _RUNS = regex.compile(r" *[^ ]+| +")
 
 
+def _mixed(x: np.ndarray) -> np.ndarray:
+    """The finishing steps of SplitMix64."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
 class DropoutCodec:
     """Encoder and decoder over the pieces of one model."""
 
@@ -56,14 +67,25 @@ class DropoutCodec:
             self.surface[i] = bytes([b])
         self.seed = seed
         self.limit = int(rate * (1 << 32))
-        self.memo: dict[tuple[int, str], bytes] = {}
-
-    def variant(self, doc_id: object, variants: int = VARIANTS) -> int:
-        return xxhash.xxh64_intdigest(str(doc_id), self.seed) % variants
-
-    def _skipped(self, key: int, at: int, rank: int) -> bool:
-        mixed = (key ^ (at * 0x9E3779B97F4A7C15) ^ (rank * 0xC2B2AE3D27D4EB4F)) & _WORD
-        return ((mixed ^ (mixed >> 31)) * 0xD6E8FEB86659FD93 & _WORD) >> 32 < self.limit
+        # (run, turns skipped as bits) -> (turns taken, ids) if no other turn is skipped.
+        self.memo: dict[tuple[str, int], tuple[int, bytes]] = {}
+
+    def _starts(self, doc_id: object, runs: int) -> np.ndarray:
+        """A hash for each run of a document, by its place."""
+        key = xxhash.xxh64_intdigest(str(doc_id), self.seed)
+        return _mixed(np.uint64(key) + np.arange(1, runs + 1, dtype=np.uint64) * np.uint64(_STEP))
+
+    def _draws(self, start: np.ndarray, first: int, turns: int) -> np.ndarray:
+        """Whether each of ``turns`` turns from ``first`` on is skipped; both are even."""
+        at = np.arange(first // 2 + 1, (first + turns) // 2 + 1, dtype=np.uint64)
+        hashes = _mixed(start[:, None] + at * np.uint64(_STEP))
+        return hashes.view("<u4").reshape(len(start), turns) < self.limit
+
+    def _further(self, start: np.uint64, first: int, turns: int) -> int:
+        """Skipped turns of one run as bits, for turns after those of the whole text."""
+        turns += turns % 2
+        drawn = self._draws(np.array([start], dtype="<u8"), first, turns)[0]
+        return int.from_bytes(np.packbits(drawn, bitorder="little").tobytes(), "little") << first
 
     def _spell(self, parts: list[str]) -> list[int]:
         """Ids of the final parts; what has no piece is spelled in bytes."""
@@ -77,25 +99,28 @@ class DropoutCodec:
                 out.append(piece)
         return out
 
-    def run_ids(self, run: str, variant: int) -> list[int]:
-        """Ids of one run: its blanks and the characters up to the next blank.
+    def run_ids(self, run: str, skips: int = 0) -> tuple[int, list[int]]:
+        """Turns taken and ids of one run (its blanks and the characters up to the next blank).
 
-        The agenda of a short run is a list with the rank of the merge at each
+        Bit t of ``skips`` says that the candidate of turn t is skipped.  The
+        agenda of a short run is a list with the rank of the merge at each
         place; that of a long one is a heap, so that its time stays near linear.
         A literal block sign takes part in no merge, or it would be read back
         as a blank.
         """
-        key = xxhash.xxh64_intdigest(run, self.seed * 1_000_003 + variant)
         if _BLANK in run:
             run = run.replace(_BLANK, _LITERAL)
         parts = list(run.replace(" ", _BLANK))
         if len(parts) > _LONG:
-            return self._spell(self._merge_long(parts, key))
+            turn, parts = self._merge_long(parts, lambda t: skips >> t & 1)
+            return turn, self._spell(parts)
         rank = self.ranks.get
         agenda = [rank(x + y, _NEVER) for x, y in zip(parts, parts[1:])]
+        turn = -1
         while agenda and (best := min(agenda)) != _NEVER:
             at = agenda.index(best)
-            if self._skipped(key, at, best):
+            turn += 1
+            if skips >> turn & 1:
                 agenda[at] = _NEVER
                 continue
             parts[at] += parts.pop(at + 1)
@@ -104,9 +129,9 @@ class DropoutCodec:
                 agenda[at] = rank(parts[at] + parts[at + 1], _NEVER)
             if at:
                 agenda[at - 1] = rank(parts[at - 1] + parts[at], _NEVER)
-        return self._spell(parts)
+        return turn + 1, self._spell(parts)
 
-    def _merge_long(self, parts: list[str], key: int) -> list[str]:
+    def _merge_long(self, parts: list[str], skipped) -> tuple[int, list[str]]:
         n = len(parts)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
         agenda: list[tuple[int, int, int, int]] = []
@@ -118,12 +143,14 @@ class DropoutCodec:
 
         for k in range(n - 1):
             propose(k, k + 1)
+        turn = -1
         while agenda:
             rank, a, left, right = heapq.heappop(agenda)
             b = after[a]
             if b >= n or len(parts[a]) != left or len(parts[b]) != right:
                 continue
-            if self._skipped(key, a, rank):
+            turn += 1
+            if skipped(turn):
                 continue
             parts[a] += parts[b]
             parts[b] = ""
@@ -133,22 +160,51 @@ class DropoutCodec:
                 propose(a, after[a])
             if before[a] >= 0:
                 propose(before[a], a)
-        return [part for part in parts if part]
+        return turn + 1, [part for part in parts if part]
+
+    def _long_ids(self, run: str, start: np.uint64) -> bytes:
+        """Ids of a run too long to be remembered; turns are drawn in stretches."""
+        drawn: list[bool] = []
+        one = np.array([start], dtype="<u8")
+
+        def skipped(turn: int) -> bool:
+            if turn >= len(drawn):
+                drawn.extend(self._draws(one, len(drawn), 1024)[0].tolist())
+            return drawn[turn]
+
+        parts = list(run.replace(_BLANK, _LITERAL).replace(" ", _BLANK))
+        return np.array(self._spell(self._merge_long(parts, skipped)[1]), dtype="<u4").tobytes()
 
-    def encode(self, text: str, variant: int = 0) -> np.ndarray:
+    def _remembered(self, key: tuple[str, int]) -> tuple[int, bytes]:
+        turns, ids = self.run_ids(*key)
+        if len(self.memo) >= _MEMO:
+            self.memo.clear()
+        found = self.memo[key] = turns, np.array(ids, dtype="<u4").tobytes()
+        return found
+
+    def encode(self, text: str, doc_id: object = 0) -> np.ndarray:
         """Ids of a whole text; a blank is put before it, as the model expects."""
         if not text:
             return np.zeros(0, dtype="<u4")
-        memo = self.memo
-        packed = []
-        for run in _RUNS.findall(" " + text):
-            key = (variant, run)
-            ids = memo.get(key)
-            if ids is None:
-                ids = np.array(self.run_ids(run, variant), dtype="<u4").tobytes()
-                if len(memo) >= _MEMO:
-                    memo.clear()
-                memo[key] = ids
+        recall, packed = self.memo.get, []
+        runs = _RUNS.findall(" " + text)
+        starts = self._starts(doc_id, len(runs))
+        drawn = np.packbits(self._draws(starts, 0, _TURNS), axis=1, bitorder="little")
+        for place, (run, skips) in enumerate(zip(runs, drawn.view("<u2").ravel().tolist())):
+            if len(run) > _LONG:
+                packed.append(self._long_ids(run, starts[place]))
+                continue
+            known, past = _TURNS, 0
+            while True:
+                key = (run, past)
+                turns, ids = recall(key) or self._remembered(key)
+                if turns > known:
+                    skips |= self._further(starts[place], known, turns - known)
+                    known = turns + (turns - known) % 2
+                left = (skips & ((1 << turns) - 1)) ^ past
+                if not left:
+                    break
+                past |= left & -left
             packed.append(ids)
         return np.frombuffer(b"".join(packed), dtype="<u4")
 
@@ -157,32 +213,33 @@ class DropoutCodec:
         return b"".join(map(self.surface.__getitem__, ids.tolist())).decode()[1:]
 
 
-def _code_batches(path: str, seed: int, rate: float, variants: int):
+def _code_batches(path: str, seed: int, rate: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = DropoutCodec(path, seed, rate)
         for batch in slices(batches, 256):
             docs = batch.column("doc_id")
-            source = batch.column("text").to_pylist()
-            kinds = [codec.variant(d, variants) for d in docs.to_pylist()]
-            coded = [codec.encode(t, v) for t, v in zip(source, kinds)]
-            yield pa.RecordBatch.from_arrays([
-                docs, pa.array(kinds, pa.int32()),
-                pa.array([c.tolist() for c in coded], pa.list_(pa.int32())),
-            ], ["doc_id", "variant", "ids"])
+            coded = [codec.encode(t, d) for t, d in zip(
+                batch.column("text").to_pylist(), docs.to_pylist())]
+            yield pa.RecordBatch.from_arrays([docs, _id_lists(coded)], ["doc_id", "ids"])
 
     return run
 
 
-def encode(docs: DataFrame, model: str = MODEL, seed: int = SEED, rate: float = RATE,
-           variants: int = VARIANTS) -> DataFrame:
-    """(doc_id, variant, ids): every whole text as piece ids.
+def _id_lists(coded: list[np.ndarray]) -> pa.ListArray:
+    ends = np.cumsum([0] + [len(c) for c in coded]).astype(np.int32)
+    flat = np.concatenate(coded) if coded else np.zeros(0, "<u4")
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat.astype(np.int32)))
+
+
+def encode(docs: DataFrame, model: str = MODEL, seed: int = SEED, rate: float = RATE) -> DataFrame:
+    """(doc_id, ids): every whole text as piece ids.
 
     Null and empty texts have no ids; repeated rows are encoded alike; other
     columns are not read.  Characters without a piece become bytes.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
     return texts(docs).mapInArrow(
-        _code_batches(model, seed, rate, variants), f"doc_id {kind}, variant int, ids array<int>")
+        _code_batches(model, seed, rate), f"doc_id {kind}, ids array<int>")
 
 
 def decode(coded: DataFrame, model: str = MODEL) -> DataFrame:
@@ -199,9 +256,9 @@ def decode(coded: DataFrame, model: str = MODEL) -> DataFrame:
     return coded.select("doc_id", "ids").mapInArrow(run, f"doc_id {kind}, text string")
 
 
-def round_trip(docs: DataFrame, model: str = MODEL, seed: int = SEED, rate: float = RATE,
-               variants: int = VARIANTS) -> DataFrame:
-    """(doc_id, variant, n_tokens, ids_crc32, lossless) of every whole text.
+def round_trip(docs: DataFrame, model: str = MODEL, seed: int = SEED,
+               rate: float = RATE) -> DataFrame:
+    """(doc_id, ids, n_tokens, ids_crc32, lossless) of every whole text.
 
     ``ids_crc32`` is over the ids
     as little-endian 32-bit numbers, ``lossless`` says that decoding gives the
@@ -211,17 +268,15 @@ def round_trip(docs: DataFrame, model: str = MODEL, seed: int = SEED, rate: floa
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = DropoutCodec(model, seed, rate)
         for batch in slices(batches, 256):
-            docs = batch.column("doc_id")
-            rows = []
-            for doc, text in zip(docs.to_pylist(), batch.column("text").to_pylist()):
-                variant = codec.variant(doc, variants)
-                ids = codec.encode(text, variant)
-                rows.append((variant, len(ids), zlib.crc32(ids.tobytes()), codec.decode(ids) == text))
-            columns = [pa.array(c, t) for c, t in zip(
-                zip(*rows), (pa.int32(), pa.int64(), pa.int64(), pa.bool_()))]
-            yield pa.RecordBatch.from_arrays(
-                [docs, *columns], ["doc_id", "variant", "n_tokens", "ids_crc32", "lossless"])
+            docs, source = batch.column("doc_id"), batch.column("text").to_pylist()
+            coded = [codec.encode(t, d) for t, d in zip(source, docs.to_pylist())]
+            yield pa.RecordBatch.from_arrays([
+                docs, _id_lists(coded),
+                pa.array([len(c) for c in coded], pa.int64()),
+                pa.array([zlib.crc32(c.tobytes()) for c in coded], pa.int64()),
+                pa.array([codec.decode(c) == t for c, t in zip(coded, source)], pa.bool_()),
+            ], ["doc_id", "ids", "n_tokens", "ids_crc32", "lossless"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return texts(docs).mapInArrow(
-        run, f"doc_id {kind}, variant int, n_tokens long, ids_crc32 long, lossless boolean")
+        run, f"doc_id {kind}, ids array<int>, n_tokens long, ids_crc32 long, lossless boolean")
