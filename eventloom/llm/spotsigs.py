@@ -73,7 +73,7 @@ def label(signs: Column) -> Column:
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """Jaccard similarity; sets without a common length range are not intersected."""
+    """Jaccard similarity; two empty sets are alike."""
     n, m = F.size(a), F.size(b)
     common = F.size(F.array_intersect(a, b))
     return (
