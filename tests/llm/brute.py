@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import re
 import zlib
 from collections import Counter, defaultdict
 
@@ -118,3 +119,55 @@ def kept_lines(docs, threshold=0.8):
             seen.append(words)
         out[doc] = gone
     return out
+
+
+def ngram_words(text):
+    return [w for w in re.split(rb"[\x00-\x2f\x3a-\x60\x7b-\x7f]+", (text or "").encode().lower()) if w]
+
+
+def ngrams(text, width=3):
+    words = ngram_words(text)
+    return [b" ".join(words[i:i + n]) for n in range(1, width + 1) for i in range(len(words) - n + 1)]
+
+
+def resampled(docs, target, share=5, least=20, seed=42, buckets=10_000):
+    """(doc_id, n_features, weight, score, rank) of every row."""
+    s, t = ([0] * buckets for _ in range(2))
+    for counts, rows in ((s, [text for _, text in docs]), (t, target)):
+        for text in rows:
+            for gram in ngrams(text):
+                counts[zlib.crc32(gram) % buckets] += 1
+    gain = [math.floor(1000 * math.log((b + 1) * (sum(s) + buckets) / ((a + 1) * (sum(t) + buckets))))
+            for a, b in zip(s, t)]
+    out = []
+    for doc, text in docs:
+        grams = ngrams(text)
+        weight = sum(gain[zlib.crc32(g) % buckets] for g in grams)
+        h = int(hashlib.sha256(f"{seed}:{'' if doc is None else doc}".encode()).hexdigest()[:8], 16)
+        score = weight + math.floor(-1000 * math.log(-math.log((h + 0.5) / 4294967296)))
+        out.append((doc, len(grams), weight, score, len(ngram_words(text))))
+    able = sorted((r for r in out if r[4] >= least), key=lambda r: (-r[3], r[0] is None, r[0] or 0))
+    drawn = [r[:4] for r in able[:share * len(able) // 100]]
+    rank = {r[0]: k for k, r in enumerate(drawn, 1)}
+    return [(*r[:4], rank.get(r[0]) if r[4] >= least else None) for r in out]
+
+
+def hard_negatives(vectors, relabel=None, every=100, n_positives=5, n_negatives=10, band=(30, 90)):
+    """Rows of (anchor, positive, rank, negative, positive score, negative score)."""
+    whole = {}
+    for vec, x, label in vectors:
+        if None in (vec, x, label) or any(v is None or not math.isfinite(v) for v in x):
+            continue
+        row = ([math.floor(256 * v) for v in x], relabel(vec, label) if relabel else label)
+        whole[vec] = min(whole.get(vec, row), row)
+    out = []
+    for a, (ints, label) in whole.items():
+        if a % every:
+            continue
+        scored = sorted((-sum(x * y for x, y in zip(ints, v)), b, lab) for b, (v, lab) in whole.items()
+                        if b != a and len(v) == len(ints))
+        for ps, p, _ in [r for r in scored if r[2] == label][:n_positives]:
+            near = [(s, b) for s, b, lab in scored if lab != label
+                    and band[0] * -ps <= 100 * -s <= band[1] * -ps][:n_negatives]
+            out += [(a, p, k, b, -ps, -s) for k, (s, b) in enumerate(near, 1)]
+    return sorted(out)

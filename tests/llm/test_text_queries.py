@@ -11,7 +11,7 @@ SF = "/root/testdata/sf0.001"
 
 def test_one_query_per_operator():
     names = list(text.queries())
-    assert [n.split("_")[0] for n in names] == [f"op{k}" for k in range(1, 11)]
+    assert [n.split("_")[0] for n in names] == [f"op{k}" for k in range(1, 14)]
     assert set(text.oracle_sql()) <= set(names)
 
 
