@@ -10,69 +10,65 @@ fill are made of boundary records, which meet by the window's number.
 
 from __future__ import annotations
 
+import base64
 from collections.abc import Iterator
 from functools import cache
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
-import regex
+import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from eventloom.llm.common import texts
-from eventloom.llm.prefix import portions, totals_before, written
+from eventloom.llm.prefix import portions, totals_before, with_totals, written
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 END_ID = 1
 SEQUENCE = 2048
-_MEMO = 300_000
 _ID_BYTES = 4
-# A blank between two other characters, with no white space at either side.
-_LONE_BLANK = regex.compile(r"(?<=\S) (?=\S)")
-_CROWDED = regex.compile(r"^ | $|\s | \s")
 
 
-class BlankRuns(dict):
-    """Ids, as little-endian 32-bit bytes, of a blank and the run of text after it.
+class Ids:
+    """Ids of whole texts, as little-endian 32-bit bytes.
 
-    The vocabulary's rules start a new part at every blank between two other
-    characters, so a text is the concatenation of its runs.  Runs recur, so
-    they are remembered; the memory is emptied at a fixed size.
+    The vocabulary's ranks give the ids of plain text; both spell every code
+    point alike.  Only a text that names one of the vocabulary's special tokens
+    goes through its full definition, which alone knows them.
     """
 
-    def __init__(self, path: str) -> None:
-        super().__init__()
-        self.whole = Tokenizer.from_file(path)
-
-    def __missing__(self, run: str) -> bytes:
-        if len(self) >= _MEMO:
-            self.clear()
-        packed = self[run] = self.spell(f" {run}")
-        return packed
-
-    def spell(self, text: str) -> bytes:
-        return np.array(self.whole.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+    def __init__(self, tokenizer: str, ranks: str) -> None:
+        self.whole = Tokenizer.from_file(tokenizer)
+        self.special = [t.content for t in self.whole.get_added_tokens_decoder().values()]
+        with open(ranks, "rb") as lines:
+            merges = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
+        self.plain = tiktoken.Encoding(
+            ranks, pat_str=public_tokenizers.PATTERN, mergeable_ranks=merges, special_tokens={})
 
     def encode(self, text: str) -> bytes:
-        first, *rest = _LONE_BLANK.split(text) if _CROWDED.search(text) else text.split(" ")
-        return b"".join([self.spell(first), *map(self.__getitem__, rest)])
+        if any(name in text for name in self.special):
+            ids = np.array(self.whole.encode(text, add_special_tokens=False).ids)
+        else:
+            ids = self.plain.encode_to_numpy(text)
+        return ids.astype("<u4").tobytes()
 
 
 @cache
-def _runs(path: str) -> BlankRuns:
-    """One memory of runs per worker and vocabulary."""
-    return BlankRuns(path)
+def _ids(tokenizer: str, ranks: str) -> Ids:
+    """One vocabulary per worker."""
+    return Ids(tokenizer, ranks)
 
 
-def _token_batches(path: str, end_id: int):
+def _token_batches(tokenizer: str, ranks: str, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        runs, part, start = _runs(path), TaskContext.get().partitionId(), 0
+        encoder, part, start = _ids(tokenizer, ranks), TaskContext.get().partitionId(), 0
         end = np.array([end_id], dtype="<u4").tobytes()
         for batch in portions(batches, "text"):
-            ids = [runs.encode(t) + end for t in batch.column("text").to_pylist()]
+            ids = [encoder.encode(t) + end for t in batch.column("text").to_pylist()]
             sizes = np.array([len(i) // _ID_BYTES for i in ids], dtype=np.int64)
             starts = start + np.cumsum(sizes) - sizes
             start = int(starts[-1] + sizes[-1])
@@ -84,21 +80,22 @@ def _token_batches(path: str, end_id: int):
     return run
 
 
-def token_streams(docs: DataFrame, tokenizer: str = TOKENIZER, end_id: int = END_ID) -> DataFrame:
+def token_streams(docs: DataFrame, tokenizer: str = TOKENIZER, ranks: str = RANKS,
+                  end_id: int = END_ID) -> DataFrame:
     """(doc_id, part, place, doc_tokens, ids): each text's ids and the end id, stored.
 
-    ``place`` counts the tokens before it in its partition.
+    ``tokenizer`` and ``ranks`` are the two files of one vocabulary.  ``place`` counts the tokens before it in its partition.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
     return written(texts(docs).mapInArrow(
-        _token_batches(tokenizer, end_id),
+        _token_batches(tokenizer, ranks, end_id),
         f"doc_id {kind}, part long, place long, doc_tokens long, ids binary"), "streams")
 
 
 def placed(streams: DataFrame) -> DataFrame:
     """(doc_id, doc_tokens, ids, at): streams with their place in the whole concatenation."""
     sizes = streams.groupBy("part").agg(F.sum("doc_tokens").alias("n"))
-    return streams.join(totals_before(sizes, "n"), "part").select(
+    return with_totals(streams, totals_before(sizes, "n")).select(
         "doc_id", "doc_tokens", "ids", (F.col("before") + F.col("place")).alias("at"))
 
 
@@ -139,7 +136,8 @@ def sequences(pieces: DataFrame, size: int = SEQUENCE) -> DataFrame:
         joined.select("sequence_id", "length", ids))
 
 
-def cut_pieces(docs: DataFrame, size: int = SEQUENCE, tokenizer: str = TOKENIZER) -> DataFrame:
+def cut_pieces(docs: DataFrame, size: int = SEQUENCE, tokenizer: str = TOKENIZER,
+               ranks: str = RANKS) -> DataFrame:
     """One row per piece of every document, as from ``cut``.
 
     Null and empty texts are the end id alone; repeated rows and rows without
@@ -147,4 +145,4 @@ def cut_pieces(docs: DataFrame, size: int = SEQUENCE, tokenizer: str = TOKENIZER
     may have any name.  No documents give no rows.  One text's ids must fit
     2 GB.  Padding is at most ``size`` - 1 in the whole result.
     """
-    return cut(placed(token_streams(docs, tokenizer)), size)
+    return cut(placed(token_streams(docs, tokenizer, ranks)), size)

@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 from eventloom.sources.workdir import fresh_folder
 
 FAN = 4096
+# Totals of so many parts, 16 bytes each, are small enough to tell every task.
+TOLD_PARTS = 1 << 20
 # monotonically_increasing_id keeps the part above these bits and the place below.
 _PLACE_BITS = 33
 
@@ -52,6 +54,18 @@ def totals_before(parts: DataFrame, size: str) -> DataFrame:
         "part", (F.col("base") + F.coalesce(F.sum(size).over(inside), F.lit(0))).alias("before"))
 
 
+def with_totals(rows: DataFrame, totals: DataFrame) -> DataFrame:
+    """``rows`` with ``before`` of their part.
+
+    The totals have two numbers per part.  They are counted, and told to every
+    task while they are at most ``TOLD_PARTS``; beyond that both sides are
+    shuffled by part.
+    """
+    kept = written(totals, "totals")
+    few = kept.count() <= TOLD_PARTS
+    return rows.join(F.broadcast(kept) if few else kept, "part")
+
+
 def ranked(rows: DataFrame, order: list[Column], rank: str) -> DataFrame:
     """``rows`` with their number from 1 in the given order over the whole table.
 
@@ -65,6 +79,6 @@ def ranked(rows: DataFrame, order: list[Column], rank: str) -> DataFrame:
     parts = placed.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n"))
     inside = F.col("place").bitwiseAND((1 << _PLACE_BITS) - 1)
     return (
-        placed.withColumn("part", part).join(totals_before(parts, "n"), "part")
+        with_totals(placed.withColumn("part", part), totals_before(parts, "n"))
         .select(*rows.columns, (F.col("before") + inside + 1).alias(rank))
     )

@@ -9,7 +9,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from eventloom.llm import concat
+from eventloom.llm import concat, prefix
 from eventloom.llm import queries as text
 
 WHOLE = Tokenizer.from_file(concat.TOKENIZER)
@@ -64,18 +64,25 @@ def test_sequences_are_the_pieces_joined(docs, rows):
 
 @settings(max_examples=150, deadline=None)
 @given(st.text(alphabet=" \n\ta'sé9.日\x1c\x85　<|endoftext|>", max_size=40))
-def test_runs_spell_like_the_whole_text(t):
-    assert concat.BlankRuns.encode(RUNS, t) == plain(t)[:-1].tobytes()
+def test_ids_are_those_of_the_tokenizer(t):
+    assert IDS.encode(t) == plain(t)[:-1].tobytes()
 
 
-RUNS = concat.BlankRuns(concat.TOKENIZER)
+IDS = concat.Ids(concat.TOKENIZER, concat.RANKS)
 
 
-def test_memory_of_runs_is_bounded(monkeypatch):
-    monkeypatch.setattr(concat, "_MEMO", 3)
-    runs = concat.BlankRuns(concat.TOKENIZER)
-    t = " ".join(f"w{k % 9}" for k in range(50))
-    assert runs.encode(t) == plain(t)[:-1].tobytes() and len(runs) <= 3
+def test_special_tokens_and_every_plane():
+    assert IDS.encode("a <|endoftext|> b") == plain("a <|endoftext|> b")[:-1].tobytes()
+    points = [c for c in range(0, 0x110000, 37) if not 0xD800 <= c < 0xE000]
+    for at in range(0, len(points), 500):
+        t = " ".join(f"{chr(c)}a{chr(c)}1" for c in points[at:at + 500])
+        assert IDS.encode(t) == plain(t)[:-1].tobytes()
+
+
+def test_totals_are_joined_without_a_broadcast_too(spark, rows, monkeypatch):
+    monkeypatch.setattr(prefix, "TOLD_PARTS", 0)
+    many = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    checked(concat.cut_pieces(many, 100).collect(), rows, 100)
 
 
 def test_odd_rows_and_empty_tables(odd, none):
