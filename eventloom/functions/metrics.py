@@ -16,8 +16,32 @@ def at_least_one(value: Column) -> Column:
     return F.greatest(F.coalesce(value, F.lit(1)), F.lit(1))
 
 
-# Stored figures round ties away from zero, those a dashboard computes to even.
-_ROUND = {"up": F.round, "even": F.bround}
+def exact_round(value: Column, digits: int = 1) -> Column:
+    """Rounding by a double's exact binary value, as Python's ``round`` does; true ties go to even.
+
+    The double times a power of two is a whole number, and so is everything
+    after that: with h the floor of twice the value in units of the last digit,
+    an odd h with a remainder lies above the middle, without one on it.  Doubles
+    from 2^53 units on lie further apart than the last digit and stay.
+    """
+    units = 10**digits
+    size = F.abs(value)
+    shift = (F.lit(53) - F.floor(F.log2(size))).cast("int")
+    doubled = (size * F.pow(F.lit(2.0), shift)).cast("bigint") * (2 * units)
+    halves = F.call_function("shiftright", doubled, shift)
+    on_tie = F.call_function("shiftleft", halves, shift) == doubled
+    below = F.floor(halves / 2)
+    up = (halves % 2 == 1) & (~on_tie | (below % 2 == 1))
+    rounded = (below + F.when(up, 1).otherwise(0)) / F.lit(float(units))
+    return (
+        F.when(value.isNull() | F.isnan(value) | (size >= 2.0**53 / units), value)
+        .when(size < 0.5 / units, F.lit(0.0))
+        .otherwise(F.when(value < 0, -rounded).otherwise(rounded))
+    )
+
+
+# Stored figures round ties away from zero, those a dashboard computes as Python does.
+_ROUND = {"up": F.round, "even": exact_round}
 
 
 def percent(part: Column, whole: Column, digits: int = 1, ties: str = "up") -> Column:
@@ -36,7 +60,7 @@ def pct_change(current: Column, previous: Column) -> Column:
     return (
         F.when((prev == 0) & (cur > 0), F.lit(100.0))
         .when(prev == 0, F.lit(0.0))
-        .otherwise(F.bround((cur - prev).cast("double") / prev * 100, 1))
+        .otherwise(exact_round((cur - prev).cast("double") / prev * 100))
     )
 
 
@@ -62,11 +86,11 @@ def depth_score(skill: Column, mcp: Column, subagent: Column, command: Column, t
         + or_zero(subagent) / total * 0.2
         + or_zero(command) / total * 0.2
     )
-    return F.when(total == 0, F.lit(0.0)).otherwise(F.bround(weighted * 100, 1))
+    return F.when(total == 0, F.lit(0.0)).otherwise(exact_round(weighted * 100))
 
 
 def hours_saved(executions: Column, minutes: int = MINUTES_SAVED_PER_EXECUTION) -> Column:
-    return F.bround(or_zero(executions) * minutes / F.lit(60.0), 1)
+    return exact_round(or_zero(executions) * minutes / F.lit(60.0))
 
 
 def annual_hours(hours: Column, days: int) -> Column:

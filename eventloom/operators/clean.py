@@ -12,7 +12,8 @@ from eventloom.schema import DEFAULT_TEAM, EVENTS_SCHEMA, FLAGS, MART_COUNTERS
 # A mapping of more users than this is joined instead of written into the plan.
 _MOST_LITERALS = 500
 
-CLEAN_COLUMNS = tuple(EVENTS_SCHEMA.fieldNames())
+# All columns of an event but the load that brought it, which only the load knows.
+CLEAN_COLUMNS = tuple(name for name in EVENTS_SCHEMA.fieldNames() if name != "load_id")
 
 # Every field is read as text and cast afterwards, so one value of the wrong
 # kind becomes NULL and leaves the rest of its event alone.

@@ -27,7 +27,8 @@ from eventloom.functions.clock import (
 from eventloom.functions.counters import counts_with_users, pick, sums
 from eventloom.functions.metrics import percent, ratio
 from eventloom.functions.text import display_name
-from eventloom.schema import NO_PROJECT, TREND_CAP_DAYS
+from eventloom.operators.distinct_users import user_counts
+from eventloom.schema import NO_PROJECT
 
 _FEATURES = {"skill": "skill_count", "mcp": "mcp_count", "sa": "subagent_count", "cmd": "command_count"}
 
@@ -55,9 +56,17 @@ def _sum_when(condition: Column, column: str, alias: str) -> Column:
 # --- overview ---------------------------------------------------------------
 
 
-def kpi_overview(daily: DataFrame, user_sum: DataFrame, team_id: str, days: int,
-                 as_of: AsOf = None) -> DataFrame:
-    """One row of current and previous totals and user counts."""
+def _period_users(user_days: DataFrame, team_id: str, **periods: Column) -> DataFrame:
+    """One row: distinct users of each period and of all time, from bitmaps."""
+    return user_counts(for_team(user_days, team_id), {**periods, "total_users": F.lit(True)})
+
+
+def kpi_overview(daily: DataFrame, user_sum: DataFrame | None, team_id: str, days: int,
+                 as_of: AsOf = None, user_days: DataFrame | None = None) -> DataFrame:
+    """One row of current and previous totals and user counts.
+
+    With ``user_days`` users are counted from bitmaps and ``user_sum`` is not read.
+    """
     current, previous = date_in_current(days, as_of), date_in_previous(days, as_of)
     measures = {"message_count": "msg", "session_count": "sess", "skill_count": "skill",
                 "mcp_count": "mcp"}
@@ -66,6 +75,9 @@ def kpi_overview(daily: DataFrame, user_sum: DataFrame, team_id: str, days: int,
         _sum_when(current, "limit_hit_count", "limit_hits"),
         *[_sum_when(previous, col, f"prev_{short}") for col, short in measures.items()],
     )
+    if user_days is not None:
+        return one_row(totals, _period_users(
+            user_days, team_id, active_users=current, prev_users=previous))
     users = (
         for_team(user_sum, team_id)
         .groupBy("user_id")
@@ -80,7 +92,7 @@ def kpi_overview(daily: DataFrame, user_sum: DataFrame, team_id: str, days: int,
 
 
 def timeline(daily: DataFrame, team_id: str, days: int, as_of: AsOf = None,
-             max_days: int | None = TREND_CAP_DAYS) -> DataFrame:
+             max_days: int | None = None) -> DataFrame:
     """Messages, tools, sessions and limit hits per day, at most ``max_days`` back (None: no limit)."""
     return (
         current_dates(for_team(daily, team_id), cap_days(days, max_days), as_of)
@@ -302,8 +314,12 @@ def feature_adoption(user_sum: DataFrame, team_id: str, days: int, as_of: AsOf =
 
 
 def roi_kpi(daily: DataFrame, user_sum: DataFrame, tool_sum: DataFrame, team_id: str, days: int,
-            as_of: AsOf = None) -> DataFrame:
-    """One row of 23 current, previous and total figures; one pass per mart."""
+            as_of: AsOf = None, user_days: DataFrame | None = None) -> DataFrame:
+    """One row of 23 current, previous and total figures; one pass per mart.
+
+    With ``user_days`` the users of all time are counted from bitmaps, and only
+    the two periods of the user mart are read.
+    """
     current, previous = date_in_current(days, as_of), date_in_previous(days, as_of)
     totals = for_team(daily, team_id).filter(current | previous).agg(
         _sum_when(current, "tool_execution_count", "tool_execs"),
@@ -317,7 +333,10 @@ def roi_kpi(daily: DataFrame, user_sum: DataFrame, tool_sum: DataFrame, team_id:
         _sum_when(previous, "success_count", "prev_tool_success"),
         _sum_when(previous, "execution_count", "prev_tool_total"),
     )
-    per_user = for_team(user_sum, team_id).groupBy("user_id").agg(
+    mine = for_team(user_sum, team_id)
+    if user_days is not None:
+        mine = mine.filter(current | previous)
+    per_user = mine.groupBy("user_id").agg(
         F.max(current).alias("now"),
         F.max(previous).alias("before"),
         _sum_when(current, "total_events", "now_events"),
@@ -336,12 +355,14 @@ def roi_kpi(daily: DataFrame, user_sum: DataFrame, tool_sum: DataFrame, team_id:
         *[F.count_if(F.col(f"before_{f}") > 0).alias(f"prev_{f}_users") for f in _FEATURES],
         F.count("user_id").alias("total_users"),
     )
+    if user_days is not None:
+        return one_row(totals, tools, users.drop("total_users"), _period_users(user_days, team_id))
     return one_row(totals, tools, users)
 
 
 def productivity_trend(daily: DataFrame, user_sum: DataFrame, team_id: str, days: int,
                        as_of: AsOf = None,
-             max_days: int | None = TREND_CAP_DAYS) -> DataFrame:
+             max_days: int | None = None) -> DataFrame:
     """Executions and messages per active user and day, at most ``max_days`` back (None: no limit)."""
     cap = cap_days(days, max_days)
     totals = (
@@ -390,7 +411,7 @@ def user_efficiency(user_sum: DataFrame, team_id: str, days: int, as_of: AsOf =
 
 
 def weekly_feature_mix(daily: DataFrame, team_id: str, days: int, as_of: AsOf = None,
-             max_days: int | None = TREND_CAP_DAYS) -> DataFrame:
+             max_days: int | None = None) -> DataFrame:
     """Messages, skills, mcp and other tool use per ISO week, at most ``max_days`` back (None: no limit)."""
     basic = F.sum("tool_execution_count") - F.sum("skill_count") - F.sum("mcp_count")
     return (

@@ -29,6 +29,12 @@ def usage_base(events: DataFrame, by_tool: bool = False) -> DataFrame:
     )
 
 
+def merged_usage(parts: DataFrame) -> DataFrame:
+    """Counters that lie in several parts of a by-tool base, added up per key."""
+    return parts.groupBy("summary_date", "team_id", "user_id", "tool_name").agg(
+        *sums(_MEASURES), F.max("last_active_at").alias("last_active_at"))
+
+
 def _success_rate() -> Column:
     """Successes among events whose outcome is known, in percent."""
     known = F.sum("success_count") + F.sum("failure_count")

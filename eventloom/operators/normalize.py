@@ -205,3 +205,106 @@ def validate_events(payloads: DataFrame) -> tuple[DataFrame, DataFrame]:
     ok = checked.filter(F.col("reject_reason").isNull()).drop("reject_reason")
     defaults = {name: _text(name) for name in ("project", "session_id") if name in payloads.columns}
     return ok.withColumns(defaults), checked.filter(F.col("reject_reason").isNotNull())
+
+
+# Fields of an event document: kind, and whether it must be there.
+EVENT_FIELDS = {
+    "event_type": ("text", True), "timestamp": ("text", True),
+    "user_id": ("text", True), "team_id": ("text", True),
+    "project": ("text", False), "session_id": ("text", False), "tool_name": ("text", False),
+    "categories": ("flags", False), "success": ("flag", False),
+    "output_length": ("number", False), "prompt_length": ("number", False),
+    "error": ("text", False), "metadata": ("object", False),
+}
+_YES = ("1", "true", "t", "yes", "y", "on")
+_NO = ("0", "false", "f", "no", "n", "off")
+_BLANK_DEFAULT = ("project", "session_id")
+_NUMBER = "^(BIGINT|DECIMAL|DOUBLE)"
+
+
+def _flag_of(kind: Column, text: Column) -> Column:
+    """Truth value of a flag, of 0 or 1, or of one of twelve words; NULL for anything else."""
+    word = F.lower(text)
+    number = text.try_cast("double")
+    return (
+        F.when(kind == "BOOLEAN", text == "true")
+        .when((kind == "STRING") & word.isin(*_YES), True).when((kind == "STRING") & word.isin(*_NO), False)
+        .when(kind.rlike(_NUMBER) & number.isin(0.0, 1.0), number == 1.0)
+    )
+
+
+def _whole_of(kind: Column, text: Column) -> Column:
+    """Whole number of a number without fraction, of a text of one, or of a flag."""
+    plain = F.when(kind != "STRING", text).when(text.rlike(r"^\s*[+-]?\d+(\.0*)?\s*$"), F.trim(text))
+    exact = plain.try_cast("decimal(38,10)")
+    return F.when(kind == "BOOLEAN", F.when(text == "true", 1).otherwise(0).cast("bigint")).when(
+        (kind == "STRING") | kind.rlike(_NUMBER), F.when(exact == F.floor(exact), exact.try_cast("bigint")))
+
+
+def _entries(document: Column) -> Column:
+    return F.try_variant_get(document, "$", "map<string, variant>")
+
+
+def _kinds(entries: Column) -> Column:
+    """Schema names of a map's values; VOID for a JSON null."""
+    return F.transform_values(entries, lambda _, v: F.coalesce(F.schema_of_variant(v), F.lit("VOID")))
+
+
+def _texts(entries: Column) -> Column:
+    """Plain values of a map as text; objects and arrays as JSON."""
+
+    def text(value: Column) -> Column:
+        nested = F.schema_of_variant(value).rlike("^(OBJECT|ARRAY)")
+        return F.when(nested, F.to_json(value)).otherwise(F.try_variant_get(value, "$", "string"))
+
+    return F.transform_values(entries, lambda _, v: text(v))
+
+
+def validate_documents(lines: DataFrame, value: str = "value") -> tuple[DataFrame, DataFrame]:
+    """Typed events of JSON documents, and rejected lines with all their reasons.
+
+    A line must hold one JSON object.  Required fields must be there and not
+    null; a field of the wrong kind gives the reason ``<field>_not_<kind>``, one
+    that is missing ``missing_<field>``.  Optional fields may be null; a missing
+    project or session is blank.  A document is opened once, into the kinds and
+    the texts of its fields, from which everything else is read.
+    """
+    rest = [c for c in lines.columns if c != value]
+    doc = F.try_parse_json(F.concat(F.lit("["), F.col(value), F.lit("]")))
+    opened = lines.select(*lines.columns, doc.alias("doc"))
+    one = F.try_variant_get("doc", "$[1]", "variant").isNull()
+    whole = F.when(one, F.try_variant_get("doc", "$[0]", "variant"))
+    mapped = opened.select(*lines.columns, _entries(whole).alias("entries"))
+    flags = F.try_variant_get(F.col("entries")["categories"], "$", "map<string, variant>")
+    told = mapped.select(
+        *lines.columns, F.col("entries").isNull().alias("unread"), _kinds(F.col("entries")).alias("kinds"),
+        _texts(F.col("entries")).alias("texts"), _kinds(flags).alias("flag_kinds"), _texts(flags).alias("flag_texts"))
+
+    def read(name: str, kind: str) -> Column:
+        has, text = F.col("kinds")[name], F.col("texts")[name]
+        if kind == "text":
+            return F.when(has == "STRING", text)
+        if kind == "flag":
+            return _flag_of(has, text)
+        if kind == "number":
+            return _whole_of(has, text)
+        if kind == "object":
+            return F.when(has.startswith("OBJECT"), text)
+        truths = F.map_zip_with("flag_kinds", "flag_texts", lambda _, k, t: _flag_of(k, t))
+        return F.when(has.startswith("OBJECT") & F.forall(F.map_values(truths), lambda v: v.isNotNull()), truths)
+
+    typed = told.select(
+        *lines.columns, "unread", "kinds", *[read(n, kind).alias(f"is_{n}") for n, (kind, _) in EVENT_FIELDS.items()])
+
+    def reason(name: str, kind: str, required: bool) -> Column:
+        none = F.coalesce(F.col("kinds")[name], F.lit("VOID")) == "VOID"
+        wrong = F.when(~none & F.col(f"is_{name}").isNull(), F.lit(f"{name}_not_{kind}"))
+        return F.when(none, F.lit(f"missing_{name}")).otherwise(wrong) if required else wrong
+
+    reasons = F.when(F.col("unread"), F.array(F.lit("not_an_object"))).otherwise(
+        F.array_compact(F.array(*[reason(n, *spec) for n, spec in EVENT_FIELDS.items()])))
+    judged = typed.withColumn("reject_reasons", reasons)
+    ok = judged.filter(F.size("reject_reasons") == 0).select(*rest, *[
+        (F.coalesce(f"is_{n}", F.lit("")) if n in _BLANK_DEFAULT else F.col(f"is_{n}")).alias(n)
+        for n in EVENT_FIELDS])
+    return ok, judged.filter(F.size("reject_reasons") > 0).select(*lines.columns, "reject_reasons")

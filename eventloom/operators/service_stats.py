@@ -27,6 +27,7 @@ from eventloom.functions.counters import is_message, is_session_start, is_tool_c
 from eventloom.functions.metrics import pct_change
 from eventloom.functions.text import display_name
 from eventloom.operators.dashboard import one_row, top_k
+from eventloom.operators.distinct_users import user_counts
 
 
 def _tool() -> Column:
@@ -42,7 +43,7 @@ def api_stats(events: DataFrame, users: DataFrame, team_id: str, days: int = 1,
     """One row: counts of the period, change against the one before, users.
 
     Only the two periods of the events are read; the number of all users comes
-    from ``users``, the user mart.
+    from ``users``, the user mart or the bitmaps of users per day.
     """
     now = resolve_as_of(as_of)
     start = now - timedelta(days=days)
@@ -70,8 +71,11 @@ def api_stats(events: DataFrame, users: DataFrame, team_id: str, days: int = 1,
           for name in measures],
         F.count_if("active").alias("active_users"),
     )
-    known = for_team(users, team_id).select("user_id").distinct().agg(
-        F.count("user_id").alias("total_users"))
+    mine = for_team(users, team_id)
+    if "user_id" in users.columns:
+        known = mine.select("user_id").distinct().agg(F.count("user_id").alias("total_users"))
+    else:
+        known = user_counts(mine, {"total_users": F.lit(True)})
     return one_row(row, known).select(
         *[f"{name}_count" for name in (*measures, "command")],
         "active_users",

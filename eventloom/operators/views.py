@@ -5,10 +5,12 @@ Days are the stored partition column, so a filter on a view's date prunes.
 
 from __future__ import annotations
 
+from datetime import date, timedelta
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventloom.functions.clock import minutes_between, month_start
+from eventloom.functions.clock import date_lit, minutes_between, month_start
 from eventloom.functions.counters import counts, counts_with_users, has_tool, is_message, pick
 from eventloom.functions.metrics import percent
 from eventloom.functions.text import blank_to_null, display_name
@@ -113,13 +115,20 @@ def project_stats(events: DataFrame) -> DataFrame:
     )
 
 
-def monthly_active_events(events: DataFrame) -> DataFrame:
-    """Distinct users and sessions per team and month.
+def monthly_active_events(events: DataFrame, first: date | None = None,
+                          last: date | None = None) -> DataFrame:
+    """Distinct users and sessions per team and month, from month ``first`` to month ``last`` if given.
 
-    Events are first reduced to one row per user and session, so the two
+    The months become bounds on the day, which the stored events are divided by;
+    a filter on the result's month could not rule out a day.  Events are first reduced to one row per user and session, so the two
     distinct counts expand that small frame instead of the events.
     """
     keys = ["team_id", "month"]
+    if first is not None:
+        events = events.filter(F.col("event_date") >= date_lit(first.replace(day=1)))
+    if last is not None:
+        after = (last.replace(day=28) + timedelta(days=4)).replace(day=1)
+        events = events.filter(F.col("event_date") < date_lit(after))
     pairs = (
         events.withColumn("month", month_start(F.col("event_date")))
         .groupBy(*keys, "user_id", "session_id")
@@ -151,3 +160,19 @@ def feature_adoption_daily(events: DataFrame) -> DataFrame:
         *[F.count_if(F.col(name) & F.col("user_id").isNotNull()).alias(f"{name}_users")
           for name in features],
     )
+
+
+def all_views(events: DataFrame) -> dict[str, DataFrame]:
+    """The ten views by name."""
+    return {
+        "v_kpi_metrics": kpi_metrics(events),
+        "v_user_ranking": user_ranking(events),
+        "v_tool_ranking": tool_ranking(events),
+        "v_overview_daily": overview_daily(events),
+        "v_user_stats": user_stats_all(events),
+        "v_tool_stats": tool_stats_daily(events),
+        "v_session_stats": session_stats(events),
+        "v_project_stats": project_stats(events),
+        "v_monthly_active": monthly_active_events(events),
+        "v_feature_adoption": feature_adoption_daily(events),
+    }

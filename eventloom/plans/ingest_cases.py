@@ -2,14 +2,28 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from functools import cache
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from eventloom.operators import dashboard, normalize, service_stats, sessions, views
 from eventloom.operators.service_stats import layer_row_counts
-from eventloom.plans.pipeline import Warehouse, apply_remap, compact_events, ingest_batch
+from eventloom.plans.pipeline import Warehouse, apply_remap, compact_events, heal, ingest_batch
 from eventloom.sources import exports, testdata
-from eventloom.sources.raw_logs import file_inventory, list_files, log_date_of, read_raw
-from eventloom.sources.tables import clustered, dates_of
+from eventloom.sources.raw_logs import (
+    file_inventory,
+    inventory_totals,
+    list_files,
+    log_date_of,
+    merge_ledger,
+    new_files,
+    read_raw,
+    read_raw_in_order,
+)
+from eventloom.sources.tables import clustered, dates_of, settings
+from eventloom.sources.testdata import AS_OF, DAYS, TEAM
+from eventloom.sources.transcripts import read_transcripts
 from eventloom.sources.workdir import fresh_folder
 from eventloom.streaming.ingest import ingest_stream
 
@@ -50,6 +64,14 @@ class LoadCase:
             .partitionBy("event_date").text(self.source)
         )
 
+    def deliver_by_day(self, lines: DataFrame) -> None:
+        """Add one file per day, its lines in the order of their event ids."""
+        (
+            lines.select("value", "event_id", "event_date").repartition("event_date")
+            .sortWithinPartitions("event_date", "event_id").drop("event_id")
+            .write.mode("append").partitionBy("event_date").text(self.source)
+        )
+
     def run(self) -> None:
         ingest_stream(self.spark, self.source, self.warehouse, self.checkpoint)
 
@@ -219,3 +241,165 @@ def export_json_lines(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.schema(
         "seq BIGINT, event_type STRING, user_id STRING, tool_name STRING, success BOOLEAN"
     ).json(path).withColumnRenamed("seq", "event_id")
+
+
+# Small blocks, so that the bundled files have several.
+SMALL_BLOCKS = {"spark.sql.files.maxPartitionBytes": "16k", "spark.sql.files.openCostInBytes": "1k"}
+
+
+def export_json_order(spark: SparkSession, sf: str) -> DataFrame:
+    """Line number of every event in an export of files that are read in many blocks."""
+    case, path = LoadCase(spark, "ordered"), fresh_folder(spark, "export")
+    case.deliver_by_day(event_lines(spark, sf))
+    with settings(spark, SMALL_BLOCKS):
+        exports.export_json(read_raw_in_order(spark, case.source), path)
+        back = read_raw_in_order(spark, path)
+        order = Window.orderBy("source_file", "block_start", "line_place")
+        numbered = back.select(
+            F.get_json_object("value", "$.seq").cast("bigint").alias("event_id"),
+            F.row_number().over(order).alias("line_number"))
+        folder = fresh_folder(spark, "numbers")
+        numbered.write.parquet(folder)
+    return spark.read.schema("event_id BIGINT, line_number INT").parquet(folder)
+
+
+def stop_reason_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Stop reason of transcript files of many lines, each read in several blocks."""
+    folder = fresh_folder(spark, "transcripts")
+    (
+        testdata.transcript_file_lines(spark, sf).repartition("file")
+        .sortWithinPartitions("file", "doc_id", "pos").select("file", "value")
+        .write.partitionBy("file").text(folder)
+    )
+    with settings(spark, SMALL_BLOCKS):
+        # The first look covers less than thirty lines of most files.
+        tails = read_transcripts(spark, folder, tail_bytes=512)
+    number = F.regexp_extract("path", "file=(\\d+)", 1).cast("bigint").alias("file")
+    return normalize.stop_reason(tails).select(number, "stop_reason")
+
+
+def _two_deliveries(spark: SparkSession, sf: str) -> LoadCase:
+    """A loaded delivery with a zero-byte file, and one that is not loaded yet."""
+    case = LoadCase(spark, "listing")
+    events = testdata.usage_events(spark, sf)
+    case.deliver_by_day(testdata.plain_lines(events.filter("event_date <= date'2024-01-20'")))
+    events.select(F.lit("").alias("value")).limit(0).write.text(f"{case.source}/event_date=2024-03-01")
+    ingest_batch(spark, case.source, case.warehouse)
+    case.deliver_by_day(testdata.plain_lines(events.filter("event_date > date'2024-01-20'")))
+    return case
+
+
+def file_listing(spark: SparkSession, sf: str) -> DataFrame:
+    """Size, lines and state of every file, and a row of totals without a date."""
+    case = _two_deliveries(spark, sf)
+    inventory = file_inventory(
+        list_files(spark, case.source), read_raw(spark, case.source), case.warehouse.ledger(spark))
+    files = inventory.select(
+        log_date_of(F.col("source_file")).alias("log_date"), F.lit(1).cast("bigint").alias("files"),
+        "size_kb", "event_count", "loaded")
+    return files.unionByName(inventory_totals(inventory), allowMissingColumns=True)
+
+
+def file_ledger(spark: SparkSession, sf: str) -> DataFrame:
+    """The ledger after the new files of a second delivery are added, by log date."""
+    case = _two_deliveries(spark, sf)
+    before, listing = case.warehouse.ledger(spark), list_files(spark, case.source)
+    fresh = new_files(listing, before).withColumn("is_new", F.lit(True))
+    merged = merge_ledger(before, fresh).join(fresh.select("source_file", "is_new"), "source_file", "left")
+    return merged.select(
+        log_date_of(F.col("source_file")).alias("log_date"),
+        F.coalesce("is_new", F.lit(False)).alias("is_new"))
+
+
+class _BrokenMarts(Warehouse):
+    """A warehouse whose user mart cannot be written."""
+
+    def mart_path(self, name: str) -> str:
+        return "no-such-store://x/y" if name == "user_summary" else super().mart_path(name)
+
+
+def ingest_stage_retry(spark: SparkSession, sf: str) -> DataFrame:
+    """User mart after a load whose marts failed, was recorded, and was run again with more events."""
+    case = LoadCase(spark, "retry")
+    case.deliver(event_lines(spark, sf, "event_id % 4 > 0"))
+    ingest_batch(spark, case.source, _BrokenMarts(case.warehouse.root), strict=False)
+    failed = case.warehouse.journal(spark).latest().filter("stage = 'marts' AND result = 'failed'")
+    if failed.isEmpty():
+        raise RuntimeError("the failed stage was not recorded")
+    case.deliver(event_lines(spark, sf, "event_id % 4 = 0 AND event_date < date'2024-01-15'"))
+    # Reloads every file: dates of the failed load are found stale and rebuilt.
+    ingest_batch(spark, case.source, case.warehouse)
+    case.deliver(event_lines(spark, sf, "event_id % 4 = 0 AND event_date >= date'2024-01-15'"))
+    case.run()
+    return case.mart("user_summary")
+
+
+def ingest_heal(spark: SparkSession, sf: str) -> DataFrame:
+    """Daily mart after a load whose marts failed, and a repair without a new load."""
+    case = LoadCase(spark, "heal")
+    case.deliver(event_lines(spark, sf, "event_date < date'2024-01-10'"))
+    case.run()
+    case.deliver(event_lines(spark, sf, "event_date >= date'2024-01-08'"))
+    ingest_batch(spark, case.source, _BrokenMarts(case.warehouse.root), strict=False)
+    heal(spark, case.warehouse)
+    return case.mart("daily_summary")
+
+
+@cache
+def _loaded_root(application: str, sf: str) -> str:
+    """Root of a warehouse after two loads that share every date and cut sessions.
+
+    Even hours come first, odd ones later.  The reports on stored tables share
+    it within one application.
+    """
+    spark = SparkSession.getActiveSession()
+    case = LoadCase(spark, "stored")
+    for rest in (0, 1):
+        case.deliver(event_lines(spark, sf, f"hour(event_timestamp) % 2 = {rest}"))
+        case.run()
+    return case.warehouse.root
+
+
+def loaded_twice(spark: SparkSession, sf: str) -> Warehouse:
+    return Warehouse(_loaded_root(spark.sparkContext.applicationId, sf))
+
+
+def stored_kpi_overview(spark: SparkSession, sf: str) -> DataFrame:
+    """Overview of a loaded warehouse, users counted from bitmaps."""
+    house = loaded_twice(spark, sf)
+    return dashboard.kpi_overview(
+        house.mart(spark, "daily_summary"), None, TEAM, DAYS, AS_OF, house.user_days(spark))
+
+
+def stored_roi_kpi(spark: SparkSession, sf: str) -> DataFrame:
+    """Return on investment of a loaded warehouse, all users counted from bitmaps."""
+    house = loaded_twice(spark, sf)
+    marts = (house.mart(spark, m) for m in ("daily_summary", "user_summary", "tool_summary"))
+    return dashboard.roi_kpi(*marts, TEAM, DAYS, AS_OF, house.user_days(spark))
+
+
+def stored_api_stats(spark: SparkSession, sf: str) -> DataFrame:
+    """Service figures of a loaded warehouse, all users counted from bitmaps."""
+    house = loaded_twice(spark, sf)
+    return service_stats.api_stats(house.events(spark), house.user_days(spark), TEAM, DAYS, AS_OF)
+
+
+def stored_sessions(spark: SparkSession, sf: str) -> DataFrame:
+    """Every session of a warehouse, from session-days that two loads added to."""
+    return sessions.session_stats(loaded_twice(spark, sf).session_days(spark))
+
+
+# A moment that cuts a day.
+CUT_AS_OF = "2024-01-31 13:30:00"
+
+
+def stored_session_kpi(spark: SparkSession, sf: str) -> DataFrame:
+    """Sessions of a period that starts within a day."""
+    house = loaded_twice(spark, sf)
+    return sessions.session_kpi(house.session_days(spark), house.events(spark), TEAM, DAYS, CUT_AS_OF)
+
+
+def warehouse_row_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows of the five layers, from file footers, and of the ten views of a loaded warehouse."""
+    house = loaded_twice(spark, sf)
+    return layer_row_counts({**house.layers(spark), **views.all_views(house.events(spark))})

@@ -78,10 +78,15 @@ def _pct(part: str, whole: str) -> str:
     return f"round(CAST({part} AS DOUBLE) / nullif({whole}, 0) * 100, 1)"
 
 
+def _exact(value: str) -> str:
+    """One decimal by the exact binary value, ties to even, without a negative zero."""
+    return f"(CAST(printf('%.1f', {value}) AS DOUBLE) + 0)"
+
+
 def _change(cur: str, prev: str) -> str:
     c, p = f"coalesce({cur}, 0)", f"coalesce({prev}, 0)"
     return (f"CASE WHEN {p} = 0 THEN CASE WHEN {c} > 0 THEN 100.0::DOUBLE ELSE 0.0::DOUBLE END"
-            f" ELSE round_even(CAST({c} - {p} AS DOUBLE) / {p} * 100, 1) END")
+            f" ELSE {_exact(f'CAST({c} - {p} AS DOUBLE) / {p} * 100')} END")
 
 
 def _has_phrase(text: str) -> str:
@@ -207,12 +212,12 @@ def _roi_summary() -> str:
         total = f"greatest(coalesce({prefix}feat_total, 1), 1)"
         depth = " + ".join(f"CAST({get(col)} AS DOUBLE) / {total} * {w}::DOUBLE" for col, w in [
             ("skill_users", "0.3"), ("mcp_users", "0.3"), ("sa_users", "0.2"), ("cmd_users", "0.2")])
-        return f"""round_even({get("tool_execs")} * 2 / 60.0::DOUBLE, 1) AS {prefix}hours_saved,
- round_even(CAST({get("total_events")} AS DOUBLE) / greatest({get("active_users")}, 1), 1)
-   AS {prefix}events_per_user,
- round_even(CAST({get("tool_success")} AS DOUBLE) / greatest(coalesce({prefix}tool_total, 1), 1) * 100, 1)
-   AS {prefix}tool_success_pct,
- round_even(({depth}) * 100, 1) AS {prefix}depth_score"""
+        per_user = f"CAST({get('total_events')} AS DOUBLE) / greatest({get('active_users')}, 1)"
+        success = f"CAST({get('tool_success')} AS DOUBLE) / greatest(coalesce({prefix}tool_total, 1), 1) * 100"
+        return f"""{_exact(get("tool_execs") + " * 2 / 60.0::DOUBLE")} AS {prefix}hours_saved,
+ {_exact(per_user)} AS {prefix}events_per_user,
+ {_exact(success)} AS {prefix}tool_success_pct,
+ {_exact(f"({depth}) * 100")} AS {prefix}depth_score"""
 
     names = ["hours_saved", "events_per_user", "tool_success_pct", "depth_score"]
     changes = ", ".join(f"{_change(n, 'prev_' + n)} AS {n}_change" for n in names)
@@ -424,6 +429,14 @@ _MART_NAMES = ["total_events", "message_count", "session_count", "tool_execution
                "subagent_count", "command_count", "skill_count", "limit_hit_count"]
 
 
+_SESSIONS = (
+    "SELECT session_id, user_id, team_id, min(event_timestamp) AS session_start,"
+    " max(event_timestamp) AS session_end,"
+    " date_diff('minute', min(event_timestamp), max(event_timestamp)) AS duration_min,"
+    f" count(*) AS event_count, {_n(_MSG, 'message_count')},"
+    f" {_n('tool_name IS NOT NULL', 'tool_count')} FROM ev GROUP BY 1, 2, 3")
+
+
 def _counts_of(tables: dict[str, str]) -> str:
     return " UNION ALL ".join(f"SELECT '{name}' AS table_name, count(*) AS row_count FROM {source}"
                               for name, source in tables.items())
@@ -447,6 +460,66 @@ _TOOL_DAY = f"""team_id, tool_name, event_date, count(*) AS execution_count,
  {_pct("count(*) FILTER (WHERE tool_success = true)", "count(*)")} AS success_rate"""
 
 
+def _validated() -> str:
+    bad = {
+        "event_type": "CASE event_id % 11 WHEN 0 THEN 'event_type_not_text' WHEN 1 THEN 'missing_event_type' END",
+        "timestamp": "CASE WHEN event_id % 17 = 3 THEN 'timestamp_not_text' END",
+        "user_id": "CASE WHEN event_id % 13 = 0 THEN 'missing_user_id' END",
+        "team_id": "CASE WHEN event_id % 19 = 4 THEN 'team_id_not_text' END",
+        "categories": "CASE WHEN event_id % 8 IN (2, 3) THEN 'categories_not_flags' END",
+        "success": "CASE WHEN event_id % 7 = 3 THEN 'success_not_flag' END",
+        "output_length": "CASE WHEN event_id % 6 = 3 THEN 'output_length_not_number' END",
+        "error": "CASE WHEN event_id % 23 = 5 THEN 'error_not_text' END",
+        "metadata": "CASE WHEN event_id % 29 = 6 THEN 'metadata_not_object' END",
+    }
+    return f"""SELECT event_id, r AS reject_reasons,
+ CASE WHEN r IS NULL THEN 'Stop' END AS event_type,
+ CASE WHEN r IS NULL THEN CASE WHEN event_id % 5 = 3 THEN 'web' ELSE '' END END AS project,
+ CASE WHEN r IS NULL THEN CASE event_id % 7 WHEN 0 THEN true WHEN 1 THEN true WHEN 2 THEN false
+   WHEN 5 THEN true WHEN 6 THEN false END END AS success,
+ CASE WHEN r IS NULL THEN CAST(CASE event_id % 6 WHEN 0 THEN 12 WHEN 1 THEN 34 WHEN 2 THEN 5 WHEN 4 THEN 1
+   ELSE -7 END AS BIGINT) END AS output_length,
+ CASE WHEN r IS NULL THEN CASE event_id % 8 WHEN 0 THEN 'mcp' WHEN 4 THEN 'mcp' WHEN 6 THEN ''
+   WHEN 7 THEN 'command,mcp' END END AS flags
+FROM (SELECT event_id, CASE WHEN event_id % 31 IN (7, 8) THEN 'not_an_object'
+  ELSE nullif(concat_ws(',', {", ".join(bad.values())}), '') END AS r FROM events)"""
+
+
+def _file_stop_reasons() -> str:
+    return f"""WITH d AS (SELECT doc_id % {td.FILES} AS file, doc_id,
+  regexp_replace({td.FILE_TEXT}, '\\r\\n?|[\\x0b\\x0c\\x1c\\x1d\\x1e\\x{{85}}\\x{{2028}}\\x{{2029}}]',
+    chr(10), 'g') AS t FROM documents),
+l AS (SELECT file, doc_id, unnest(string_split(t, chr(10))) AS line,
+  generate_subscripts(string_split(t, chr(10)), 1) AS pos FROM d),
+b AS (SELECT *, row_number() OVER (PARTITION BY file ORDER BY doc_id DESC, pos DESC) AS back FROM l),
+tails AS (SELECT file, string_agg(line, ' ' ORDER BY back DESC) AS tail FROM b WHERE back <= 30 GROUP BY file)
+SELECT file, CASE WHEN {_has_phrase("tail")} THEN 'usage_limit' ELSE 'normal' END AS stop_reason FROM tails"""
+
+
+def _listed_files() -> str:
+    iso = f"strftime({_UTC}, {_ISO})"
+    line = td.PLAIN_LINE.replace("{iso}", iso)
+    return f"""f AS (SELECT event_date AS log_date, sum(strlen({line}) + 1) AS size, count(*) AS event_count,
+  event_date <= DATE '2024-01-20' AS loaded FROM ev GROUP BY 1
+  UNION ALL SELECT DATE '2024-03-01', 0, 0, true)"""
+
+
+def _view_counts() -> dict[str, str]:
+    """Rows of each view: distinct keys of the events it groups."""
+    keys = {
+        "v_kpi_metrics": "team_id, event_date", "v_user_ranking": "user_id, team_id",
+        "v_tool_ranking": "team_id, tool_name, event_date", "v_overview_daily": "team_id, event_date",
+        "v_user_stats": "user_id, team_id", "v_tool_stats": "team_id, tool_name, event_date",
+        "v_session_stats": "session_id, user_id, team_id",
+        "v_project_stats": f"team_id, coalesce(nullif(project_name, ''), '{NO_PROJECT}')",
+        "v_monthly_active": "team_id, date_trunc('month', event_timestamp)",
+        "v_feature_adoption": "team_id, event_date",
+    }
+    return {name: f"(SELECT DISTINCT {columns} FROM ev"
+                  f"{' WHERE tool_name IS NOT NULL' if 'tool' in name else ''})"
+            for name, columns in keys.items()}
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "daily_summary": _mart("SELECT * FROM daily"),
@@ -474,12 +547,7 @@ def oracle_sql() -> dict[str, str]:
         "v_tool_ranking": _ev(f"SELECT {_TOOL_DAY} FROM ev WHERE tool_name IS NOT NULL GROUP BY 1, 2, 3"),
         "v_tool_stats": _ev(f"SELECT {_TOOL_DAY}, avg(output_length) AS avg_output_length"
                             " FROM ev WHERE tool_name IS NOT NULL GROUP BY 1, 2, 3"),
-        "v_session_stats": _ev(
-            "SELECT session_id, user_id, team_id, min(event_timestamp) AS session_start,"
-            " max(event_timestamp) AS session_end,"
-            " date_diff('minute', min(event_timestamp), max(event_timestamp)) AS duration_min,"
-            f" count(*) AS event_count, {_n(_MSG, 'message_count')},"
-            f" {_n('tool_name IS NOT NULL', 'tool_count')} FROM ev GROUP BY 1, 2, 3"),
+        "v_session_stats": _ev(_SESSIONS),
         "v_project_stats": _ev(
             f"SELECT team_id, coalesce(nullif(project_name, ''), '{NO_PROJECT}') AS project_name,"
             f" count(*) AS event_count, count(DISTINCT user_id) AS user_count, {_n(_MSG, 'msg_count')},"
@@ -582,7 +650,8 @@ def oracle_sql() -> dict[str, str]:
         "session_cards": _ev(
             "SELECT total_sessions, coalesce(avg_duration_min, 0.0::DOUBLE) AS avg_duration_min,"
             " normal_stopped, coalesce(limit_stopped, 0) AS limit_stopped, CASE WHEN total_sessions > 0"
-            f" THEN {_pct('limit_stopped', 'total_sessions').replace('round(', 'round_even(')} ELSE 0.0::DOUBLE END AS limit_stop_pct"
+            f" THEN {_exact('CAST(limit_stopped AS DOUBLE) / total_sessions * 100')} ELSE 0.0::DOUBLE END"
+            " AS limit_stop_pct"
             f" FROM ({_SESSION_KPI})"),
         "roi_summary": _mart(_roi_summary()),
         "tool_tiers": _mart(
@@ -662,6 +731,28 @@ def oracle_sql() -> dict[str, str]:
             " coalesce(tool_name, '') AS tool_name,"
             f" strftime(event_timestamp - INTERVAL 9 HOUR, {_ISO}) AS timestamp FROM ev"),
         "ingest_late_data": _mart("SELECT * FROM usr"),
+        "ingest_stage_retry": _mart("SELECT * FROM usr"),
+        "ingest_heal": _mart("SELECT * FROM daily"),
+        "stored_kpi_overview": _mart(_KPI),
+        "stored_roi_kpi": _mart(_roi()),
+        "stored_api_stats": _ev(_api_stats()),
+        "stored_sessions": _ev(_SESSIONS),
+        "stored_session_kpi": _ev(_SESSION_KPI.replace(
+            "TIMESTAMP '2024-01-24 00:00:00'", "TIMESTAMP '2024-01-24 13:30:00'")),
+        "warehouse_row_counts": _mart(_counts_of({
+            "raw_events": "events", "events": "ev", "daily_summary": "daily", "user_summary": "usr",
+            "tool_summary": "tls", **_view_counts()})),
+        "file_listing": (
+            f"WITH {_EV}, {_listed_files()} SELECT log_date, CAST(1 AS BIGINT) AS files,"
+            f" {_exact('size / 1024.0::DOUBLE')} AS size_kb, event_count, loaded FROM f"
+            f" UNION ALL SELECT NULL, count(*), {_exact('CAST(sum(size) AS DOUBLE) / 1024')},"
+            " CAST(sum(event_count) AS BIGINT), NULL FROM f"),
+        "file_ledger": f"WITH {_EV}, {_listed_files()} SELECT log_date, NOT loaded AS is_new FROM f",
+        "export_json_order": _ev(
+            "SELECT event_id, CAST(row_number() OVER (ORDER BY event_date, event_id) AS INT)"
+            " AS line_number FROM ev"),
+        "stop_reason_files": _file_stop_reasons(),
+        "validate_types": _validated(),
         "file_inventory": _ev(
             "SELECT event_date AS log_date, CAST(count(*) AS BIGINT) AS event_count,"
             " event_date <= DATE '2024-01-20' AS loaded, true AS has_size FROM ev GROUP BY 1"),

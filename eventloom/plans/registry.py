@@ -20,6 +20,7 @@ from eventloom.operators import service_stats as C
 from eventloom.operators import views as V
 from eventloom.operators.clean import remap_user_summary, remap_users
 from eventloom.plans import ingest_cases
+from eventloom.schema import TREND_CAP_DAYS
 from eventloom.sources import testdata
 from eventloom.sources.exports import export_flat
 from eventloom.sources.raw_logs import with_provenance
@@ -117,6 +118,15 @@ def _validate_events(spark: SparkSession, sf: str) -> DataFrame:
     return ok.unionByName(rejected).select("event_id", "project", "reject_reason")
 
 
+def _validate_types(spark: SparkSession, sf: str) -> DataFrame:
+    ok, rejected = N.validate_documents(testdata.loose_lines(spark, sf))
+    typed = ok.select(
+        "event_id", "event_type", "project", "success", "output_length",
+        F.array_join(F.array_sort(F.map_keys(F.map_filter("categories", lambda _, v: v))), ",").alias("flags"))
+    reasons = rejected.select("event_id", F.array_join("reject_reasons", ",").alias("reject_reasons"))
+    return typed.unionByName(reasons, allowMissingColumns=True)
+
+
 # --- source and sink queries ------------------------------------------------
 
 
@@ -195,7 +205,7 @@ def queries() -> dict[str, Query]:
         "v_feature_adoption": _on_events(V.feature_adoption_daily),
         # dashboard queries
         "kpi_overview": _on_marts(lambda d, u, t: Q.kpi_overview(d, u, *at)),
-        "timeline": _on_marts(lambda d, u, t: Q.timeline(d, *at)),
+        "timeline": _on_marts(lambda d, u, t: Q.timeline(d, *at, TREND_CAP_DAYS)),
         "heatmap": _on_events(lambda e: Q.heatmap(e, *at)),
         "user_leaderboard": _on_marts(lambda d, u, t: Q.user_leaderboard(u, *at)),
         "user_timeline": _on_marts(lambda d, u, t: Q.user_timeline(u, TEAM, USER, DAYS, AS_OF)),
@@ -209,9 +219,9 @@ def queries() -> dict[str, Query]:
         "monthly_active": _on_marts(lambda d, u, t: Q.monthly_active(d, u, TEAM)),
         "feature_adoption": _on_marts(lambda d, u, t: Q.feature_adoption(u, *at)),
         "roi_kpi": _on_marts(lambda d, u, t: Q.roi_kpi(d, u, t, *at)),
-        "productivity_trend": _on_marts(lambda d, u, t: Q.productivity_trend(d, u, *at)),
+        "productivity_trend": _on_marts(lambda d, u, t: Q.productivity_trend(d, u, *at, TREND_CAP_DAYS)),
         "user_efficiency": _on_marts(lambda d, u, t: Q.user_efficiency(u, *at)),
-        "weekly_feature_mix": _on_marts(lambda d, u, t: Q.weekly_feature_mix(d, TEAM, 30, AS_OF)),
+        "weekly_feature_mix": _on_marts(lambda d, u, t: Q.weekly_feature_mix(d, TEAM, 30, AS_OF, TREND_CAP_DAYS)),
         # service, command line and admin statistics
         "api_stats": _on_events(lambda e: C.api_stats(e, A.user_summary(e), *at)),
         "api_users": _on_events(lambda e: C.api_users(e, *at)),
@@ -231,7 +241,7 @@ def queries() -> dict[str, Query]:
         "tool_tiers": _on_marts(lambda d, u, t: D.tool_tiers(Q.tool_leaderboard(t, *at))),
         "user_ranked": _on_marts(_user_ranked),
         "weekly_mix_share": _on_marts(
-            lambda d, u, t: D.weekly_mix_share(Q.weekly_feature_mix(d, TEAM, 30, AS_OF))
+            lambda d, u, t: D.weekly_mix_share(Q.weekly_feature_mix(d, TEAM, 30, AS_OF, TREND_CAP_DAYS))
         ),
         "user_bubble": _on_marts(lambda d, u, t: D.user_bubble(Q.user_efficiency(u, *at))),
         "limit_hours_dense": _on_events(lambda e: D.limit_hours_dense(Q.limit_hits_by_hour(e, *at))),
@@ -249,6 +259,8 @@ def queries() -> dict[str, Query]:
         "project_names": _project_names,
         "redact": _redact,
         "validate_events": _validate_events,
+        "validate_types": _validate_types,
+        "stop_reason_files": ingest_cases.stop_reason_files,
         # ingest, sources and sinks
         "ingest_clean": ingest_cases.ingest_clean,
         "ingest_quarantine": ingest_cases.ingest_quarantine,
@@ -257,7 +269,18 @@ def queries() -> dict[str, Query]:
         "ingest_upsert": ingest_cases.ingest_upsert,
         "ingest_late_data": ingest_cases.ingest_late_data,
         "ingest_tool_mart": ingest_cases.ingest_tool_mart,
+        "ingest_stage_retry": ingest_cases.ingest_stage_retry,
+        "ingest_heal": ingest_cases.ingest_heal,
         "user_remap_stored": ingest_cases.user_remap_stored,
+        "stored_kpi_overview": ingest_cases.stored_kpi_overview,
+        "stored_roi_kpi": ingest_cases.stored_roi_kpi,
+        "stored_api_stats": ingest_cases.stored_api_stats,
+        "stored_sessions": ingest_cases.stored_sessions,
+        "stored_session_kpi": ingest_cases.stored_session_kpi,
+        "warehouse_row_counts": ingest_cases.warehouse_row_counts,
+        "file_listing": ingest_cases.file_listing,
+        "file_ledger": ingest_cases.file_ledger,
+        "export_json_order": ingest_cases.export_json_order,
         "export_csv": ingest_cases.export_csv_rows,
         "file_inventory": ingest_cases.file_inventory_by_day,
         "path_provenance": _path_provenance,

@@ -80,6 +80,7 @@ EVENTS_SCHEMA = T.StructType([
     *[T.StructField(flag, T.BooleanType()) for flag in FLAGS],
     T.StructField("stop_reason", T.StringType()),
     T.StructField("raw_data", T.StringType()),
+    T.StructField("load_id", T.StringType()),
     T.StructField("event_date", T.DateType()),
 ])
 
@@ -120,8 +121,62 @@ TOOL_SCHEMA = T.StructType([
     T.StructField("updated_at", T.TimestampType()),
 ])
 
+# --- daily states: partial aggregates that loads add to ----------------------
+
+USAGE_SCHEMA = T.StructType([
+    T.StructField("team_id", T.StringType()),
+    T.StructField("user_id", T.StringType()),
+    T.StructField("tool_name", T.StringType()),
+    *_COUNTER_FIELDS,
+    T.StructField("success_count", T.LongType()),
+    T.StructField("failure_count", T.LongType()),
+    T.StructField("last_active_at", T.TimestampNTZType()),
+    T.StructField("summary_date", T.DateType()),
+])
+
+SESSION_DAYS_SCHEMA = T.StructType([
+    T.StructField("session_id", T.StringType()),
+    T.StructField("user_id", T.StringType()),
+    T.StructField("team_id", T.StringType()),
+    T.StructField("session_start", T.TimestampNTZType()),
+    T.StructField("session_end", T.TimestampNTZType()),
+    T.StructField("event_count", T.LongType()),
+    T.StructField("message_count", T.LongType()),
+    T.StructField("tool_count", T.LongType()),
+    T.StructField("is_limit", T.IntegerType()),
+    T.StructField("has_normal", T.IntegerType()),
+    T.StructField("has_greater", T.IntegerType()),
+    T.StructField("event_date", T.DateType()),
+])
+
+# --- users as bits ------------------------------------------------------------
+
+USER_NUMBERS_SCHEMA = T.StructType([
+    T.StructField("user_id", T.StringType()),
+    T.StructField("user_no", T.LongType()),
+])
+
+USER_DAYS_SCHEMA = T.StructType([
+    T.StructField("team_id", T.StringType()),
+    T.StructField("chunk", T.LongType()),
+    T.StructField("users", T.BinaryType()),
+    T.StructField("summary_date", T.DateType()),
+])
+
+# --- loads --------------------------------------------------------------------
+
 LEDGER_SCHEMA = T.StructType([
     T.StructField("source_file", T.StringType()),
+    T.StructField("line_count", T.LongType()),
+    T.StructField("load_id", T.StringType()),
+])
+
+JOURNAL_SCHEMA = T.StructType([
+    T.StructField("stage", T.StringType()),
+    T.StructField("result", T.StringType()),
+    T.StructField("detail", T.StringType()),
+    T.StructField("recorded_at", T.TimestampType()),
+    T.StructField("load_id", T.StringType()),
 ])
 
 # The document a hook reads from its standard input; it holds no identity.

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from eventloom.sources.raw_logs import LINE_ORDER
 from eventloom.sources.tables import clustered
 
 _FLAT_TEXT = (
@@ -38,13 +39,18 @@ def valid_lines(raw: DataFrame) -> DataFrame:
 
 
 def export_json(raw: DataFrame, path: str) -> None:
-    """Write every readable event as one JSON line, in the order of its file's name if given."""
-    if "source_file" not in raw.columns:
+    """Write every readable event as one JSON line.
+
+    Lines that carry their place (``read_raw_in_order``) are written in the
+    order of their files' names and of the lines in each file; with only a file
+    name, in the order of the names.
+    """
+    order = [c for c in LINE_ORDER if c in raw.columns]
+    if not order:
         valid_lines(raw).write.mode("overwrite").text(path)
         return
     # Range partitions are numbered in order, and so are the files written from them.
-    ordered = raw.orderBy("source_file")
-    valid_lines(ordered).write.mode("overwrite").text(path)
+    valid_lines(raw.orderBy(*order)).write.mode("overwrite").text(path)
 
 
 def export_flat(raw: DataFrame, *carry: str) -> DataFrame:

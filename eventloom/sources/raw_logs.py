@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from eventloom.functions.metrics import exact_round
+
 # Log file layouts, newest first.
 _DASHED_DATE = "(\\d{4}-\\d{2}-\\d{2})[^/]*(?:/[^/]*)?$"
 _COMPACT_DATE = "(\\d{8})\\.jsonl[^/]*$"
@@ -22,6 +26,25 @@ def read_raw(spark: SparkSession, path: str, glob: str | None = None) -> DataFra
     return _lines(spark.read.format("text"), path, glob)
 
 
+def read_raw_in_order(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
+    """The lines with their place: file, start of the block in it, running number in the scan.
+
+    A line belongs to the block it starts in and a task reads a block from its
+    start to its end, so the three order the lines of a file however it is split.
+    """
+    reader = spark.read.format("text").option("recursiveFileLookup", "true")
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
+    return reader.load(path).select(
+        "value", F.col("_metadata.file_path").alias("source_file"),
+        F.col("_metadata.file_block_start").alias("block_start"),
+        F.monotonically_increasing_id().alias("line_place"))
+
+
+# Columns that put the lines of many files in order.
+LINE_ORDER = ("source_file", "block_start", "line_place")
+
+
 def read_raw_stream(spark: SparkSession, path: str, glob: str | None = None,
                     max_files: int | None = None) -> DataFrame:
     """The same lines as a stream of newly arrived files."""
@@ -31,14 +54,6 @@ def read_raw_stream(spark: SparkSession, path: str, glob: str | None = None,
     return _lines(reader, path, glob)
 
 
-def read_transcripts(spark: SparkSession, path: str) -> DataFrame:
-    """Whole transcript files as (path, value)."""
-    return (
-        spark.read.text(path, wholetext=True, recursiveFileLookup=True)
-        .select(F.col("_metadata.file_path").alias("path"), "value")
-    )
-
-
 # --- provenance -------------------------------------------------------------
 
 
@@ -67,16 +82,21 @@ def with_provenance(df: DataFrame, path_col: str = "source_file") -> DataFrame:
 
 
 def list_files(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
-    """Files below a folder with their size; no content is read.
+    """All files below a folder with their size; no content is read.
 
-    Spark's file scans pass over zero-byte files, so those are not listed.
+    Spark's file index lists the folders, in parallel once there are many, and
+    knows every file; its scans pass over zero-byte files, which are added here.
     """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    return reader.load(path).select(
-        F.col("_metadata.file_path").alias("source_file"), F.col("length").alias("size_bytes")
-    )
+    found = reader.load(path)
+    sized = found.select(F.col("_metadata.file_path").alias("source_file"), "length")
+    # The index writes local paths with three slashes, a scan with one.
+    paths = [(re.sub("^file:/+", "file:/", name),) for name in found.inputFiles()]
+    names = spark.createDataFrame(paths, "source_file string")
+    return names.join(sized, "source_file", "left").select(
+        "source_file", F.coalesce("length", F.lit(0).cast("bigint")).alias("size_bytes"))
 
 
 def new_files(listing: DataFrame, ledger: DataFrame) -> DataFrame:
@@ -99,7 +119,7 @@ def file_inventory(listing: DataFrame, lines: DataFrame, ledger: DataFrame) -> D
         .select(
             "source_file",
             "size_bytes",
-            F.round(F.col("size_bytes") / 1024, 1).alias("size_kb"),
+            exact_round(F.col("size_bytes") / 1024).alias("size_kb"),
             F.coalesce("event_count", F.lit(0)).alias("event_count"),
             F.coalesce("loaded", F.lit(False)).alias("loaded"),
         )
@@ -107,8 +127,9 @@ def file_inventory(listing: DataFrame, lines: DataFrame, ledger: DataFrame) -> D
 
 
 def inventory_totals(inventory: DataFrame) -> DataFrame:
+    """One row: files, size and lines in all."""
     return inventory.agg(
         F.count(F.lit(1)).alias("files"),
-        F.round(F.sum("size_bytes") / 1024, 1).alias("size_kb"),
+        exact_round(F.sum("size_bytes") / 1024).alias("size_kb"),
         F.sum("event_count").alias("event_count"),
     )

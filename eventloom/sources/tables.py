@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -9,6 +12,20 @@ from pyspark.sql import types as T
 
 from eventloom.sources.workdir import fresh_folder
 
+
+@contextmanager
+def settings(spark: SparkSession, values: Mapping[str, str]) -> Iterator[None]:
+    """Session settings for what is run inside; the old ones return afterwards."""
+    old = {key: spark.conf.get(key, None) for key in values}
+    for key, value in values.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in old.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 def read_table(spark: SparkSession, path: str, schema: T.StructType,
                base_path: str | None = None, required: bool = False) -> DataFrame:
     """A parquet table; empty while nothing has been written yet, unless ``required``."""
@@ -38,11 +55,28 @@ def append_raw(keyed: DataFrame, path: str, load_id: str) -> None:
     stamped.write.mode("overwrite").parquet(f"{path}/load_id={load_id}")
 
 
+def ranged(events: DataFrame) -> DataFrame:
+    """Events in files that each hold one stretch of (day, team, time).
+
+    Range partitioning cuts a team that fills much of a day by time, and events
+    of one moment by hash, so no task writes them alone; the statistics of a file
+    rule it out for other teams.
+    """
+    order = [c for c in ("event_date", "team_id", "event_timestamp", "event_hash") if c in events.columns]
+    return events.repartitionByRange(*order).sortWithinPartitions(*order)
+
+
+# Row groups without a wanted hash are skipped by these filters.
+_HASH_FILTER = {
+    "parquet.bloom.filter.enabled#event_hash": "true",
+    "parquet.bloom.filter.adaptive.enabled": "true",
+}
+
+
 def write_events(events: DataFrame, path: str) -> None:
-    """Append clean events, partitioned by day and clustered by team."""
+    """Append clean events, partitioned by day and clustered by team and time."""
     (
-        clustered(events, "event_date", "team_id")
-        .write.mode("append")
+        ranged(events).write.mode("append").options(**_HASH_FILTER)
         .partitionBy("event_date")
         .parquet(path)
     )
@@ -56,27 +90,43 @@ def rewrite_events(events: DataFrame, path: str) -> None:
     """
     spark = events.sparkSession
     aside = fresh_folder(spark, "rewrite")
-    clustered(events, "event_date", "team_id").write.partitionBy("event_date").parquet(aside)
+    ranged(events).write.partitionBy("event_date").parquet(aside)
     (
-        clustered(read_table(spark, aside, events.schema, required=True), "event_date", "team_id")
-        .write.mode("overwrite")
+        ranged(read_table(spark, aside, events.schema, required=True))
+        .write.mode("overwrite").options(**_HASH_FILTER)
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("event_date")
         .parquet(path)
     )
 
 
-def write_mart(mart: DataFrame, path: str) -> None:
-    """Replace the dates that occur in ``mart``; other dates stay."""
+def write_days(rows: DataFrame, path: str, day: str, *order: str) -> None:
+    """Replace the dates that occur in ``rows``; other dates stay.
+
+    Rows may be read from the dates they replace: old files go when all new
+    ones are written.
+    """
     (
-        clustered(mart.withColumn("updated_at", F.current_timestamp()), "summary_date", "team_id")
-        .write.mode("overwrite")
+        clustered(rows, day, *order).write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("summary_date")
+        .partitionBy(day)
         .parquet(path)
     )
 
 
+def write_mart(mart: DataFrame, path: str) -> None:
+    """Replace the dates that occur in ``mart``; other dates stay."""
+    stamped = mart.withColumn("updated_at", F.current_timestamp())
+    write_days(stamped, path, "summary_date", "team_id")
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written to the shared scratch folder and read back: lineage ends here."""
+    path = fresh_folder(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def dates_of(rows: DataFrame, column: str) -> DataFrame:
     """The distinct dates of a column, without null."""
     return rows.select(F.col(column)).filter(F.col(column).isNotNull()).distinct()

@@ -186,3 +186,55 @@ def jsonl_lines(events: DataFrame, reverse_keys: bool = False) -> DataFrame:
     if reverse_keys:
         fields = fields[::-1]
     return events.select("event_id", "event_date", F.to_json(F.struct(*fields)).alias("value"))
+
+
+# Lines whose fields have many kinds, right and wrong ones, as JSON text by field.
+LOOSE_FIELDS = {
+    "event_type": "CASE event_id % 11 WHEN 0 THEN '7' WHEN 1 THEN 'null' ELSE '\"Stop\"' END",
+    "timestamp": "CASE event_id % 17 WHEN 3 THEN '{}' ELSE '\"2024-01-01T00:00:00+00:00\"' END",
+    "team_id": "CASE event_id % 19 WHEN 4 THEN 'true' ELSE '\"t\"' END",
+    "project": "CASE event_id % 5 WHEN 2 THEN 'null' WHEN 3 THEN '\"web\"' ELSE '\"\"' END",
+    "categories": "CASE event_id % 4 WHEN 0 THEN '{\"mcp\":true,\"skill\":\"no\"}' WHEN 1 THEN 'null'"
+                  " WHEN 2 THEN CASE WHEN event_id % 8 = 2 THEN '{\"mcp\":3}' ELSE '{}' END"
+                  " ELSE CASE WHEN event_id % 8 = 3 THEN '\"x\"' ELSE '{\"mcp\":1,\"command\":\"ON\"}' END END",
+    "success": "CASE event_id % 7 WHEN 0 THEN 'true' WHEN 1 THEN '\"yes\"' WHEN 2 THEN '0'"
+               " WHEN 3 THEN '\"maybe\"' WHEN 4 THEN 'null' WHEN 5 THEN '1.0' ELSE 'false' END",
+    "output_length": "CASE event_id % 6 WHEN 0 THEN '12' WHEN 1 THEN '\"34\"' WHEN 2 THEN '5.0'"
+                     " WHEN 3 THEN '5.5' WHEN 4 THEN 'true' ELSE '-7' END",
+    "error": "CASE event_id % 23 WHEN 5 THEN '[\"e\"]' ELSE 'null' END",
+    "metadata": "CASE event_id % 29 WHEN 6 THEN '[]' ELSE '{\"k\":[1]}' END",
+}
+
+# A user is named by most lines; some lines are no object at all.
+LOOSE_LINE = ("CASE event_id % 31 WHEN 7 THEN '[1]' WHEN 8 THEN '{\"event_type\":' ELSE concat('{',"
+              " CASE WHEN event_id % 13 = 0 THEN '' ELSE concat('\"user_id\":\"u', event_id % 50, '\",') END, "
+              + ", ',', ".join(f"'\"{name}\":', {sql}" for name, sql in LOOSE_FIELDS.items()) + ", '}') END")
+
+# Plain event lines of known text, so that their bytes can be counted.
+PLAIN_LINE = ("concat('{\"event_type\":\"', event_type, '\",\"timestamp\":\"', {iso}, '\",\"user_id\":\"', user_id,"
+              " '\",\"seq\":', event_id, '}')")
+
+# Text of a document in a transcript file, with limit phrases at the start or end of a few.
+FILE_TEXT = """CASE WHEN doc_id % 9 = 4 THEN concat('API usage limit', chr(10), coalesce(text, ''))
+ WHEN doc_id % 13 = 5 THEN concat(coalesce(text, ''), chr(10), 'Monthly Usage', chr(10), 'LIMIT')
+ ELSE coalesce(text, '') END"""
+FILES = 40
+
+
+def loose_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(event_id, value): lines whose fields have kinds that an event may not have."""
+    return table(spark, sf_dir, "events").selectExpr("event_id", f"{LOOSE_LINE} AS value")
+
+
+def plain_lines(events: DataFrame) -> DataFrame:
+    """(event_id, event_date, value) of clean events."""
+    iso = ("concat(date_format(convert_timezone('Asia/Tokyo', 'UTC', event_timestamp),"
+           " 'yyyy-MM-dd\\'T\\'HH:mm:ss.SSSSSS'), '+00:00')")
+    return events.selectExpr("event_id", "event_date", f"{PLAIN_LINE.replace("{iso}", iso)} AS value")
+
+
+def transcript_file_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(file, doc_id, pos, value): documents dealt to transcripts, a row per line in order."""
+    lines = F.split(F.expr(FILE_TEXT), "\n", -1)
+    return table(spark, sf_dir, "documents").select(
+        F.expr(f"doc_id % {FILES}").alias("file"), "doc_id", F.posexplode(lines).alias("pos", "value"))

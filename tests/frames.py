@@ -9,7 +9,7 @@ BASE = {
     "received_at": None, "user_id": "ann@x.com", "team_id": "default-team", "session_id": "s1",
     "project_name": "web", "tool_name": None, "tool_success": None, "output_length": None,
     "error_message": None, "prompt_length": None, **{f: False for f in FLAGS},
-    "stop_reason": None, "raw_data": None,
+    "stop_reason": None, "raw_data": None, "load_id": None,
 }
 
 

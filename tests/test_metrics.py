@@ -74,3 +74,26 @@ def test_user_tags(spark):
 def test_marker_size(spark):
     assert value(spark, M.marker_size(long(5), long(10))) == 23.0
     assert value(spark, M.marker_size(long(0), long(0))) == 8.0
+
+
+def test_rounding_is_that_of_python(spark):
+    pairs = [(a, b) for b in (1, 3, 7, 16, 40, 160, 997, 2000) for a in range(0, 4200, 7)]
+    pairs += [(a, 2000) for a in range(1990, 2300)] + [(a, 80) for a in range(1, 300)]
+    values = [(a - b) / b * 100 for a, b in pairs] + [
+        0.0, -0.0, 0.05, 0.15, 0.25, 0.35, -0.25, -0.05, 12.25, 12.35, 2.5, 1e-9, 1e14 + 0.25, 1e15, 1e17, 1e300,
+        0.049999999999999996, 0.05000000000000001, 8.35, 1.005, 0.95, 99.95, 2.675]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    for digits in (0, 1, 2):
+        got = [r[0] for r in df.select(M.exact_round(F.col("v"), digits)).collect()]
+        wrong = [(v, g, round(v, digits)) for v, g in zip(values, got) if g != round(v, digits)]
+        assert not wrong, wrong[:5]
+    odd = spark.createDataFrame([(None,), (float("nan"),), (float("inf"),)], "v double")
+    rest = [r[0] for r in odd.select(M.exact_round(F.col("v"))).collect()]
+    assert rest[0] is None and rest[1] != rest[1] and rest[2] == float("inf")
+
+
+def test_change_on_ties(spark):
+    df = spark.createDataFrame([(2001, 2000), (2003, 2000), (1, 0), (0, 0), (None, 5)], "a bigint, b bigint")
+    got = [r[0] for r in df.select(M.pct_change(F.col("a"), F.col("b"))).collect()]
+    assert got == [round(1 / 2000 * 100, 1), round(3 / 2000 * 100, 1), 100.0, 0.0, -100.0]
+    assert got[:2] == [0.1, 0.1]

@@ -131,3 +131,53 @@ def test_line_tails_against_brute_force(spark, tail):
         text = " ".join(line for key, _, line in lines if key == k)
         last = " ".join([line for key, _, line in lines if key == k][-tail:])
         assert got[k] == ("usage_limit" if "usage limit reached" in last else "normal"), text
+
+
+GOOD = {"event_type": "Stop", "timestamp": "t", "user_id": "u", "team_id": "x"}
+
+
+def judged(spark, *documents):
+    """(reasons or None, typed row or None) per document, in order."""
+    lines = [(k, d if isinstance(d, str) else json.dumps(d)) for k, d in enumerate(documents)]
+    ok, bad = N.validate_documents(spark.createDataFrame(lines, "k int, value string"))
+    good, bad = {r.k: r for r in ok.collect()}, {r.k: r.reject_reasons for r in bad.collect()}
+    assert not set(good) & set(bad)
+    return [(bad.get(k), good.get(k)) for k in range(len(documents))]
+
+
+def test_complete_document_is_typed(spark):
+    (reasons, row), = judged(spark, {
+        **GOOD, "categories": {"mcp": True, "skill": 0}, "success": "No", "output_length": "12",
+        "prompt_length": 3.0, "error": None, "metadata": {"a": [1, {"b": 2}]}, "other": 5})
+    assert reasons is None
+    assert (row.categories, row.success, row.output_length, row.prompt_length, row.error) == (
+        {"mcp": True, "skill": False}, False, 12, 3, None)
+    assert (row.project, row.session_id, row.tool_name) == ("", "", None)
+    assert json.loads(row.metadata) == {"a": [1, {"b": 2}]}
+
+
+def test_each_field_has_its_reason(spark):
+    cases = {
+        "event_type": (7, "event_type_not_text"), "timestamp": (True, "timestamp_not_text"),
+        "user_id": (None, "missing_user_id"), "team_id": ({}, "team_id_not_text"),
+        "project": (1, "project_not_text"), "session_id": ([], "session_id_not_text"),
+        "tool_name": (False, "tool_name_not_text"), "categories": ({"mcp": "perhaps"}, "categories_not_flags"),
+        "success": (2, "success_not_flag"), "output_length": (1.5, "output_length_not_number"),
+        "prompt_length": ("1e3", "prompt_length_not_number"), "error": ({"m": 1}, "error_not_text"),
+        "metadata": ([1], "metadata_not_object"),
+    }
+    found = judged(spark, *[{**GOOD, name: value} for name, (value, _) in cases.items()])
+    assert [r for r, _ in found] == [[reason] for _, reason in cases.values()]
+
+
+def test_several_reasons_and_lines_that_hold_no_object(spark):
+    found = judged(spark, {"event_type": 1, "success": "x"}, "[1]", "{", "", "null", "12", "{} {}", '{"a":1},{"b":2}')
+    assert found[0][0] == ["event_type_not_text", "missing_timestamp", "missing_user_id", "missing_team_id",
+                           "success_not_flag"]
+    assert [r for r, _ in found[1:]] == [["not_an_object"]] * 7
+
+
+def test_null_and_missing_options_are_accepted(spark):
+    options = ("project", "session_id", "tool_name", "categories", "success", "output_length", "error", "metadata")
+    found = judged(spark, GOOD, {**GOOD, **{name: None for name in options}}, {**GOOD, "categories": {}})
+    assert all(r is None for r, _ in found) and found[2][1].categories == {}

@@ -2,10 +2,15 @@ import csv
 import datetime as dt
 import json
 
-from eventloom.sources import exports
+import pytest
+from pyspark.sql import functions as F
+
+from eventloom.functions.text import last_lines
+from eventloom.sources import exports, tables
 from eventloom.sources import raw_logs as R
 from eventloom.sources.tables import read_table
 from eventloom.schema import DAILY_SCHEMA
+from eventloom.sources.transcripts import read_transcripts
 from eventloom.sources.workdir import fresh_folder, scratch_root
 from frames import by, one, records
 
@@ -49,10 +54,53 @@ def test_inventory_of_loaded_and_new_files(spark, tmp_path):
 
 def test_whole_transcripts(spark, tmp_path):
     put(tmp_path, "a/t1.txt", "one", "two")
-    row = one(R.read_transcripts(spark, str(tmp_path)))
+    row = one(read_transcripts(spark, str(tmp_path)))
     assert row["value"] == "one\ntwo\n" and row["path"].endswith("a/t1.txt")
 
 
+def python_tail(text, n=30):
+    return " ".join(text.splitlines()[-n:])
+
+
+@pytest.mark.parametrize("block,tail_bytes", [("128m", 1 << 20), ("64", 1), ("1k", 300), ("37", 200)])
+def test_transcript_tails_equal_a_whole_read(spark, tmp_path, block, tail_bytes):
+    texts = {
+        "long.txt": "".join(f"line {i} {'x' * (i % 9)}\n" for i in range(400)),
+        "open_end.txt": "\n".join(f"l{i}" for i in range(90)),
+        "blank_end.txt": "a\n" * 40 + "\n\n",
+        "short.txt": "one\ntwo", "one_line.txt": "z" * 900, "crlf.txt": "p\r\nq\rr\n" * 25,
+        "wide.txt": "".join(f"{'y' * 120}{i}\n" for i in range(50)), "empty.txt": "",
+        "unicode.txt": "あ\u2028い\x0bう\n" * 20,
+    }
+    for name, text in texts.items():
+        (tmp_path / name).write_bytes(text.encode())
+    with tables.settings(spark, {"spark.sql.files.maxPartitionBytes": block,
+                                 "spark.sql.files.openCostInBytes": "1"}):
+        found = read_transcripts(spark, str(tmp_path), tail_bytes=tail_bytes)
+    tails = found.select("path", last_lines(F.col("value")).alias("tail")).collect()
+    got = {r.path.rsplit("/", 1)[1]: r.tail for r in tails}
+    assert got == {name: python_tail(text) for name, text in texts.items()}
+
+
+def test_listing_has_empty_files_and_odd_names(spark, tmp_path):
+    put(tmp_path, "k=1/a b%.txt", "x")
+    (tmp_path / "k=1" / "none.txt").touch()
+    (tmp_path / "skip.log").touch()
+    rows = R.list_files(spark, str(tmp_path), "*.txt").collect()
+    assert sorted(r.size_bytes for r in rows) == [0, 2]
+    lines = R.read_raw(spark, str(tmp_path), "*.txt").select("source_file").collect()
+    assert {r.source_file for r in lines} <= {r.source_file for r in rows}
+
+
+def test_export_keeps_the_order_of_lines(spark, tmp_path):
+    for name in ("b", "a"):
+        put(tmp_path / "in", f"{name}.jsonl", *[json.dumps({"f": name, "i": i}) for i in range(700)], "{broken")
+    with tables.settings(spark, {"spark.sql.files.maxPartitionBytes": "900", "spark.sql.files.openCostInBytes": "1"}):
+        exports.export_json(R.read_raw_in_order(spark, str(tmp_path / "in")), str(tmp_path / "out"))
+    written = [line for part in sorted((tmp_path / "out").glob("part-*")) for line in part.read_text().splitlines()]
+    assert written == [json.dumps({"f": n, "i": i}) for n in "ab" for i in range(700)]
+
+
 def test_unwritten_table_reads_as_empty(spark, tmp_path):
     df = read_table(spark, str(tmp_path / "none"), DAILY_SCHEMA)
     assert df.count() == 0 and df.columns == DAILY_SCHEMA.fieldNames()
