@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -16,6 +18,11 @@ def at_least_one(value: Column) -> Column:
     return F.greatest(F.coalesce(value, F.lit(1)), F.lit(1))
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often the body names it."""
+    return F.transform(F.array(value), body)[0]
+
+
 def exact_round(value: Column, digits: int = 1) -> Column:
     """Rounding by a double's exact binary value, as Python's ``round`` does; true ties go to even.
 
@@ -25,19 +32,35 @@ def exact_round(value: Column, digits: int = 1) -> Column:
     from 2^53 units on lie further apart than the last digit and stay.
     """
     units = 10**digits
-    size = F.abs(value)
-    shift = (F.lit(53) - F.floor(F.log2(size))).cast("int")
-    doubled = (size * F.pow(F.lit(2.0), shift)).cast("bigint") * (2 * units)
-    halves = F.call_function("shiftright", doubled, shift)
-    on_tie = F.call_function("shiftleft", halves, shift) == doubled
-    below = F.floor(halves / 2)
-    up = (halves % 2 == 1) & (~on_tie | (below % 2 == 1))
-    rounded = (below + F.when(up, 1).otherwise(0)) / F.lit(float(units))
-    return (
-        F.when(value.isNull() | F.isnan(value) | (size >= 2.0**53 / units), value)
-        .when(size < 0.5 / units, F.lit(0.0))
-        .otherwise(F.when(value < 0, -rounded).otherwise(rounded))
-    )
+
+    def nearest(scaled: Column) -> Column:
+        """Rounded quotient of a struct: ``doubled`` units over 2^``shift``."""
+        shift, doubled = scaled["shift"], scaled["doubled"]
+        halves = F.call_function("shiftright", doubled, shift)
+
+        def settled(half: Column) -> Column:
+            on_tie = F.call_function("shiftleft", half, shift) == doubled
+            below = F.floor(half / 2)
+            up = (half % 2 == 1) & (~on_tie | (below % 2 == 1))
+            return (below + F.when(up, 1).otherwise(0)) / F.lit(float(units))
+
+        return _let(halves, settled)
+
+    def scaled(size: Column) -> Column:
+        shift = (F.lit(53) - F.floor(F.log2(size))).cast("int")
+        return _let(shift, lambda by: F.struct(
+            by.alias("shift"),
+            ((size * F.pow(F.lit(2.0), by)).cast("bigint") * (2 * units)).alias("doubled")))
+
+    def rounded(v: Column) -> Column:
+        size = F.abs(v)
+        return (
+            F.when(v.isNull() | F.isnan(v) | (size >= 2.0**53 / units), v)
+            .when(size < 0.5 / units, F.lit(0.0))
+            .otherwise(F.signum(v) * _let(scaled(size), nearest))
+        )
+
+    return _let(value, rounded)
 
 
 # Stored figures round ties away from zero, those a dashboard computes as Python does.
@@ -56,12 +79,16 @@ def ratio(part: Column, whole: Column, digits: int = 1, ties: str = "up") -> Col
 
 def pct_change(current: Column, previous: Column) -> Column:
     """Change against the previous period; 100 when there was nothing before."""
-    cur, prev = or_zero(current), or_zero(previous)
-    return (
-        F.when((prev == 0) & (cur > 0), F.lit(100.0))
-        .when(prev == 0, F.lit(0.0))
-        .otherwise(exact_round((cur - prev).cast("double") / prev * 100))
-    )
+
+    def change(pair: Column) -> Column:
+        cur, prev = pair["cur"], pair["prev"]
+        return (
+            F.when((prev == 0) & (cur > 0), F.lit(100.0))
+            .when(prev == 0, F.lit(0.0))
+            .otherwise(exact_round((cur - prev).cast("double") / prev * 100))
+        )
+
+    return _let(F.struct(or_zero(current).alias("cur"), or_zero(previous).alias("prev")), change)
 
 
 def change_direction(change: Column) -> Column:

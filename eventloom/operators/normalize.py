@@ -293,8 +293,10 @@ def validate_documents(lines: DataFrame, value: str = "value") -> tuple[DataFram
         truths = F.map_zip_with("flag_kinds", "flag_texts", lambda _, k, t: _flag_of(k, t))
         return F.when(has.startswith("OBJECT") & F.forall(F.map_values(truths), lambda v: v.isNotNull()), truths)
 
-    typed = told.select(
-        *lines.columns, "unread", "kinds", *[read(n, kind).alias(f"is_{n}") for n, (kind, _) in EVENT_FIELDS.items()])
+    # A generator ends here what a filter on the reasons could pull down and repeat.
+    fields = F.struct("unread", "kinds", *[
+        read(n, kind).alias(f"is_{n}") for n, (kind, _) in EVENT_FIELDS.items()])
+    typed = told.select(*lines.columns, F.inline(F.array(fields)))
 
     def reason(name: str, kind: str, required: bool) -> Column:
         none = F.coalesce(F.col("kinds")[name], F.lit("VOID")) == "VOID"
@@ -303,7 +305,8 @@ def validate_documents(lines: DataFrame, value: str = "value") -> tuple[DataFram
 
     reasons = F.when(F.col("unread"), F.array(F.lit("not_an_object"))).otherwise(
         F.array_compact(F.array(*[reason(n, *spec) for n, spec in EVENT_FIELDS.items()])))
-    judged = typed.withColumn("reject_reasons", reasons)
+    judged = typed.select(*lines.columns, F.inline(F.array(F.struct(
+        reasons.alias("reject_reasons"), *[f"is_{n}" for n in EVENT_FIELDS]))))
     ok = judged.filter(F.size("reject_reasons") == 0).select(*rest, *[
         (F.coalesce(f"is_{n}", F.lit("")) if n in _BLANK_DEFAULT else F.col(f"is_{n}")).alias(n)
         for n in EVENT_FIELDS])
