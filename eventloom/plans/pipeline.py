@@ -309,7 +309,7 @@ def load_lines(lines: DataFrame, warehouse: Warehouse, load_id: str, strict: boo
             known = known_keys(warehouse.events(spark), good, dates)
             fresh_events = typed_events(insert_new(known, good))
             write_events(fresh_events.withColumn("load_id", F.lit(load_id)).select(
-                *EVENTS_SCHEMA.fieldNames()), warehouse.events_path)
+                *EVENTS_SCHEMA.fieldNames()), warehouse.events_path, good.count())
         _write_ledger(warehouse, load, load_id, files)
     done = [("raw", "done", None), ("events", "done", None)]
     if not touched:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator, Mapping
 from contextlib import contextmanager
 
@@ -55,15 +56,30 @@ def append_raw(keyed: DataFrame, path: str, load_id: str) -> None:
     stamped.write.mode("overwrite").parquet(f"{path}/load_id={load_id}")
 
 
-def ranged(events: DataFrame) -> DataFrame:
+# Bytes of an event in a shuffle, about, with its raw line.
+_EVENT_BYTES = 400
+_UNITS = {"": 1, "b": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
+
+
+def _target_bytes(spark: SparkSession) -> int:
+    """The size that the session advises for a task."""
+    text = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64m").lower()
+    number, unit = re.fullmatch(r"(\d+)\s*([bkmgt]?)b?", text).groups()
+    return int(number) * _UNITS[unit]
+
+
+def ranged(events: DataFrame, rows: int | None = None) -> DataFrame:
     """Events in files that each hold one stretch of (day, team, time).
 
     Range partitioning cuts a team that fills much of a day by time, and events
     of one moment by hash, so no task writes them alone; the statistics of a file
-    rule it out for other teams.
+    rule it out for other teams.  The number of rows (counted if not given)
+    sets the number of tasks, so that each gets about the advised size.
     """
     order = [c for c in ("event_date", "team_id", "event_timestamp", "event_hash") if c in events.columns]
-    return events.repartitionByRange(*order).sortWithinPartitions(*order)
+    rows = events.count() if rows is None else rows
+    tasks = max(1, -(-rows * _EVENT_BYTES // _target_bytes(events.sparkSession)))
+    return events.repartitionByRange(tasks, *order).sortWithinPartitions(*order)
 
 
 # Row groups without a wanted hash are skipped by these filters.
@@ -73,10 +89,10 @@ _HASH_FILTER = {
 }
 
 
-def write_events(events: DataFrame, path: str) -> None:
-    """Append clean events, partitioned by day and clustered by team and time."""
+def write_events(events: DataFrame, path: str, rows: int | None = None) -> None:
+    """Append clean events, at most ``rows`` if given, by day and clustered by team and time."""
     (
-        ranged(events).write.mode("append").options(**_HASH_FILTER)
+        ranged(events, rows).write.mode("append").options(**_HASH_FILTER)
         .partitionBy("event_date")
         .parquet(path)
     )
@@ -90,7 +106,7 @@ def rewrite_events(events: DataFrame, path: str) -> None:
     """
     spark = events.sparkSession
     aside = fresh_folder(spark, "rewrite")
-    ranged(events).write.partitionBy("event_date").parquet(aside)
+    events.write.partitionBy("event_date").parquet(aside)
     (
         ranged(read_table(spark, aside, events.schema, required=True))
         .write.mode("overwrite").options(**_HASH_FILTER)

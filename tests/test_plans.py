@@ -146,7 +146,7 @@ def test_one_team_opens_a_part_of_a_days_files(spark, tmp_path):
         F.concat(F.lit("team-"), F.when(F.col("id") % 10 < 6, 0).otherwise(F.col("id") % 10)).alias("team_id"),
         F.timestamp_seconds("id").cast("timestamp_ntz").alias("event_timestamp"),
         F.sha2(F.col("id").cast("string"), 256).alias("event_hash"))
-    with tables.settings(spark, {"spark.sql.adaptive.coalescePartitions.enabled": "false"}):
+    with tables.settings(spark, {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "1m"}):
         tables.write_events(rows, path)
     events = spark.read.parquet(path)
     whole = rows_read(events.filter("event_hash <> ''"))
