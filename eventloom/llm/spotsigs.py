@@ -40,9 +40,11 @@ def signatures(text: Column, anchors: tuple[str, ...] = ANCHORS, chain: int = CH
     content word has one signature, its whole sequence of words; an empty text
     has none.
     """
-    flat = F.trim(F.regexp_replace(F.translate(F.lower(text), _MARK, " "), "\\s+", " "))
-    hung = F.regexp_replace(
-        F.concat(F.lit(" "), flat), f" ({'|'.join(anchors)})(?= |$)", f"{_MARK}$1")
+    blank = F.translate(F.lower(text), f"{_MARK}\t\n\x0b\f\r", " " * 6)
+    flat = F.trim(F.regexp_replace(blank, " {2,}", " "))
+    hung = F.array_join(F.transform(
+        F.split(flat, " "),
+        lambda w: F.concat(F.when(w.isin(*anchors), _MARK).otherwise(" "), w)), "")
 
     parts = F.split(hung, " ")
     n = F.size(parts)
@@ -55,7 +57,8 @@ def signatures(text: Column, anchors: tuple[str, ...] = ANCHORS, chain: int = CH
     def chained(row: Column) -> Column:
         following = [word(row[str(k)]) for k in range(1, chain + 1)]
         opens = (F.locate(_MARK, row["0"]) > 0) & row["1"].isNotNull()
-        anchor = F.regexp_extract(row["0"], f"{_MARK}(.*)$", 1)
+        at = F.locate(_MARK, row["0"])
+        anchor = F.substring(row["0"], at + 1, F.length(row["0"]))
         return F.when(opens, F.xxhash64(anchor, *following))
 
     found = F.filter(F.transform(zipped, chained), lambda s: s.isNotNull())
