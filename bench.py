@@ -23,6 +23,7 @@ from eventloom.operators import dashboard as Q
 from eventloom.operators import marts as A
 from eventloom.operators import normalize as N
 from eventloom.operators import service_stats as C
+from eventloom.operators import sessions as S
 from eventloom.operators import views as V
 from eventloom.plans import registry
 from eventloom.plans.ingest_cases import LoadCase, event_lines
@@ -36,7 +37,8 @@ from eventloom.sources.workdir import fresh_folder
 # Whole loads and exports; the three load figures stand for them.
 LOADS = {
     *(n for n in registry.queries() if n.startswith("ingest_")), "user_remap_stored", "file_inventory",
-    "jsonl_by_day", "export_json", "export_csv",
+    "jsonl_by_day", "export_json", "export_csv", "export_json_order", "file_listing", "file_ledger",
+    "stop_reason_files",
 }
 
 
@@ -101,7 +103,9 @@ def actions(spark: SparkSession, sf: str, case: LoadCase, tasks: int) -> dict[st
         "heatmap": Q.heatmap(events, *at),
         "project_ranking": Q.project_ranking(events, *at),
         "session_kpi": Q.session_kpi(events, *at),
+        "session_kpi_by_days": S.session_kpi(house.session_days(spark), events, *at),
         "kpi_overview": Q.kpi_overview(daily, users, *at),
+        "kpi_overview_by_bits": Q.kpi_overview(daily, None, *at, house.user_days(spark)),
         "user_leaderboard": Q.user_leaderboard(users, *at),
         "tool_trend": Q.tool_trend(tools, *at),
         "roi_kpi": Q.roi_kpi(daily, users, tools, *at),

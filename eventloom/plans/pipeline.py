@@ -303,16 +303,16 @@ def load_lines(lines: DataFrame, warehouse: Warehouse, load_id: str, strict: boo
         # From here on everything reads the stored load, not the source files.
         load = warehouse.load(spark, load_id)
         good, _ = split_bad(load)
-        dates = stored(dates_of(good, "event_date"), "dates")
-        touched = not dates.isEmpty()
-        if touched:
+        per_date = stored(_per_date(good.filter("event_date IS NOT NULL"), "event_date", "n"), "dates")
+        dates, rows = per_date.select("event_date"), per_date.agg(F.sum("n")).first()[0] or 0
+        if rows:
             known = known_keys(warehouse.events(spark), good, dates)
             fresh_events = typed_events(insert_new(known, good))
             write_events(fresh_events.withColumn("load_id", F.lit(load_id)).select(
-                *EVENTS_SCHEMA.fieldNames()), warehouse.events_path, good.count())
+                *EVENTS_SCHEMA.fieldNames()), warehouse.events_path, rows)
         _write_ledger(warehouse, load, load_id, files)
     done = [("raw", "done", None), ("events", "done", None)]
-    if not touched:
+    if not rows:
         journal.record(load_id, *done)
         return
     journal.record(load_id, *done, ("marts", "started", None))

@@ -58,6 +58,7 @@ def append_raw(keyed: DataFrame, path: str, load_id: str) -> None:
 
 # Bytes of an event in a shuffle, about, with its raw line.
 _EVENT_BYTES = 400
+_LEAST_BYTES = 4 << 20
 _UNITS = {"": 1, "b": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
 
 
@@ -74,11 +75,14 @@ def ranged(events: DataFrame, rows: int | None = None) -> DataFrame:
     Range partitioning cuts a team that fills much of a day by time, and events
     of one moment by hash, so no task writes them alone; the statistics of a file
     rule it out for other teams.  The number of rows (counted if not given)
-    sets the number of tasks, so that each gets about the advised size.
+    sets the number of tasks, so that each gets about the advised size, or less
+    while cores would idle and a task still has ``_LEAST_BYTES``.
     """
+    spark = events.sparkSession
     order = [c for c in ("event_date", "team_id", "event_timestamp", "event_hash") if c in events.columns]
-    rows = events.count() if rows is None else rows
-    tasks = max(1, -(-rows * _EVENT_BYTES // _target_bytes(events.sparkSession)))
+    size = (events.count() if rows is None else rows) * _EVENT_BYTES
+    busy = min(spark.sparkContext.defaultParallelism, size // _LEAST_BYTES)
+    tasks = max(1, busy, -(-size // _target_bytes(spark)))
     return events.repartitionByRange(tasks, *order).sortWithinPartitions(*order)
 
 
