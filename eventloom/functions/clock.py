@@ -156,9 +156,8 @@ def event_time(text: Column) -> Column:
     text with an offset is read as a moment and placed on the UTC wall clock
     by its distance from 1970, a text without one as a wall clock.
     """
-    seconds = (F.unix_micros(F.try_to_timestamp(text)) / F.lit(1_000_000).cast("decimal(7,0)"))
-    moment = F.lit("1970-01-01").cast("timestamp_ntz") + F.make_dt_interval(
-        secs=seconds.cast("decimal(18,6)"))
+    moment = F.lit("1970-01-01").cast("timestamp_ntz") + F.lit(
+        timedelta(microseconds=1)) * F.unix_micros(F.try_to_timestamp(text))
     wall = F.when(text.rlike(_HAS_OFFSET), moment).otherwise(text.try_cast("timestamp_ntz"))
     return F.convert_timezone(F.lit("UTC"), F.lit(EVENT_ZONE), wall)
 

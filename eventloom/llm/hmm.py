@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventloom.llm.common import as_bytes, in_training, slices, store, texts
+from eventloom.llm.common import as_bytes, drop_stored, in_training, slices, store, texts
 
 HOLD_OUT = 10
 STATES = 8
@@ -31,14 +31,13 @@ STATES = 8
 COMMON_WORDS = 2000
 ENDINGS = 1024
 ROUNDS = 2
-# The starting point comes from at most so many documents; all train afterwards.
-START_DOCS = 1200
+# Rounds over the counts of neighbouring classes, of which there are at most the classes squared.
 START_ROUNDS = 12
 BLOCK_DOCS = 8192
 BLOCK_BYTES = 24 << 20
 # Training cuts longer texts into stretches of this many tokens; scoring never cuts.
 STRETCH = 1024
-_STRETCH_TOKENS = 500_000
+_STRETCH_TOKENS = 250_000
 PRIOR = 0.1
 # No word holds a blank, so this stands for the end of a text in the counts.
 END = " "
@@ -276,19 +275,81 @@ def _training_part(block: Block, classes: Classes) -> tuple[np.ndarray, np.ndarr
     return seen[np.repeat(block.training, sizes)], sizes[block.training]
 
 
-def _start(docs: DataFrame, classes: Classes, share: np.ndarray, states: int,
-           hold_out: int) -> Model:
-    """A few rounds over a bounded sample, so that full rounds begin with distinct states."""
-    sample = texts(docs).filter(in_training(hold_out)).orderBy(
-        F.xxhash64("doc_id"), "doc_id", "text").limit(START_DOCS).toArrow()
-    model = Model.scattered(share, states)
-    seqs = [np.append(classes.of(t.lower().split()), classes.end).astype(np.int32)
-            for c in sample.column("text").chunks for t in as_bytes(c)]
-    if not seqs:
-        return model
-    seen, sizes = np.concatenate(seqs), np.array([len(s) for s in seqs], dtype=np.int64)
+def pair_counts(blocks: DataFrame, classes: Classes) -> DataFrame:
+    """Stored (a, b, n): how often class ``b`` follows ``a`` in all training texts.
+
+    Before the first class of a text comes ``classes.size``.
+    """
+    shared = blocks.sparkSession.sparkContext.broadcast(classes)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = shared.value
+        for block in _blocks_of(batches):
+            seen, sizes = _training_part(block, kinds)
+            before = np.empty_like(seen)
+            before[1:] = seen[:-1]
+            before[np.cumsum(sizes) - sizes] = kinds.size
+            for at in range(0, len(seen), _STRETCH_TOKENS):
+                part = slice(at, at + _STRETCH_TOKENS)
+                codes, n = np.unique(
+                    before[part].astype(np.int64) * kinds.size + seen[part], return_counts=True)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array((codes // kinds.size).astype(np.int32)),
+                     pa.array((codes % kinds.size).astype(np.int32)), pa.array(n.astype(np.int64))],
+                    ["a", "b", "n"])
+
+    found = blocks.select("training", "sizes", "tokens", "words").mapInArrow(run, "a int, b int, n long")
+    return store(found.groupBy("a", "b").agg(F.sum("n").alias("n")), "pairs")
+
+
+def expected_pair_counts(model: Model, occupied: np.ndarray, a: np.ndarray, b: np.ndarray,
+                         n: np.ndarray) -> np.ndarray:
+    """Counts of start, moves and emissions over neighbouring classes, each pair seen by itself.
+
+    ``occupied`` is the share of each state among those that another follows.
+    """
+    states, size = len(model.start), len(model.emits)
+    first = a == size
+    from_state = np.where(first[:, None], 0.0, occupied * model.emits[np.minimum(a, size - 1)])
+    to_state = np.where(first[:, None], model.start, from_state @ model.moves) * model.emits[b]
+    weight = n / to_state.sum(1)
+    to_state *= weight[:, None]
+    moves = (from_state * weight[:, None]).T @ model.emits[b] * model.moves
+    emits = np.stack([np.bincount(b, to_state[:, k], size) for k in range(states)], 1)
+    return np.concatenate([to_state[first].sum(0), moves.ravel(), emits.ravel()])
+
+
+def _summed(found: DataFrame, cells: int) -> np.ndarray:
+    """Counts (``cell``, ``x``) of many tasks added up."""
+    sums = found.groupBy("cell").agg(F.sum("x").alias("x")).toArrow()
+    counts = np.zeros(cells)
+    counts[sums.column("cell").to_numpy()] = sums.column("x").to_numpy()
+    return counts
+
+
+def _start(blocks: DataFrame, classes: Classes, share: np.ndarray, states: int) -> Model:
+    """Rounds over the pairs of neighbours in all training texts, so that full rounds begin
+    with distinct states."""
+    pairs = pair_counts(blocks, classes)
+    model, occupied = Model.scattered(share, states), np.full(states, 1 / states)
+    cells = states + states * states + model.emits.size
     for _ in range(START_ROUNDS):
-        model = Model.of_counts(counts_over(model, seen, sizes), share, states)
+        shared = blocks.sparkSession.sparkContext.broadcast((model, occupied))
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            now, at = shared.value
+            total = np.zeros(cells)
+            for batch in batches:
+                total += expected_pair_counts(now, at, *[batch.column(c).to_numpy() for c in ("a", "b", "n")])
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(cells)), pa.array(total)], ["cell", "x"])
+
+        counts = _summed(pairs.mapInArrow(run, "cell long, x double"), cells)
+        if not counts.any():
+            break
+        model = Model.of_counts(counts, share, states)
+        occupied = _parts(counts, states)[1].sum(1) + PRIOR
+        occupied /= occupied.sum()
+    drop_stored(pairs)
     return model
 
 
@@ -307,13 +368,9 @@ def baum_welch(blocks: DataFrame, model: Model, classes: Classes, share: np.ndar
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.arange(len(total))), pa.array(total)], ["cell", "x"])
 
-    sums = (
-        blocks.select("training", "sizes", "tokens", "words")
-        .mapInArrow(run, "cell long, x double").groupBy("cell").agg(F.sum("x").alias("x"))
-    ).toArrow()
     states = len(model.start)
-    counts = np.zeros(states + states * states + model.emits.size)
-    counts[sums.column("cell").to_numpy()] = sums.column("x").to_numpy()
+    found = blocks.select("training", "sizes", "tokens", "words").mapInArrow(run, "cell long, x double")
+    counts = _summed(found, states + states * states + model.emits.size)
     return Model.of_counts(counts, share, states)
 
 
@@ -369,7 +426,7 @@ def language_scores(docs: DataFrame, hold_out: int = HOLD_OUT, states: int = STA
     share = totals.copy()
     share[classes.end] = whole.ends + PRIOR
     share /= share.sum()
-    model = _start(docs, classes, share, states, hold_out)
+    model = _start(blocks, classes, share, states)
     for _ in range(rounds):
         model = baum_welch(blocks, model, classes, share)
 

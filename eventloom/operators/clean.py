@@ -17,9 +17,9 @@ CLEAN_COLUMNS = tuple(name for name in EVENTS_SCHEMA.fieldNames() if name != "lo
 
 # Every field is read as text and cast afterwards, so one value of the wrong
 # kind becomes NULL and leaves the rest of its event alone.
-_HEAD = "event_type STRING, timestamp STRING, user_id STRING"
+_HEAD = "event_type STRING, timestamp STRING, user_id STRING, team_id STRING"
 _EVENT = (
-    f"{_HEAD}, team_id STRING, session_id STRING, project STRING, tool_name STRING,"
+    f"{_HEAD}, session_id STRING, project STRING, tool_name STRING,"
     " success STRING, output_length STRING, error STRING, prompt_length STRING,"
     " is_usage_limit STRING, stop_reason STRING, categories STRUCT<skill: STRING,"
     " subagent: STRING, mcp: STRING, command: STRING, file_operation: STRING>"
@@ -59,18 +59,19 @@ def event_hash(canonical: Column) -> Column:
 
 
 def key_lines(lines: DataFrame) -> DataFrame:
-    """Raw lines plus content hash, event date and reject reason.
+    """Raw lines plus content hash, event date, place in a day's files and reject reason.
 
     Input has a ``value`` column.  ``raw`` is the canonical JSON of a readable
     line, which makes it a function of the hash, and the original text of an
-    unreadable one.  Parsed forms are columns of their own, so each is
-    computed once per line.
+    unreadable one.  Time and team are kept with it, so that events can be put
+    in order before they are typed.  Parsed forms are columns of their own, so
+    each is computed once per line.
     """
     rest = [c for c in lines.columns if c != "value"]
     parsed = (
         with_canonical(lines)
         .withColumn("head", F.from_json("canonical", _HEAD))
-        .select("value", *rest, "canonical", "head.event_type", "head.user_id",
+        .select("value", *rest, "canonical", "head.event_type", "head.user_id", "head.team_id",
                 event_time(F.col("head.timestamp")).alias("stamp"))
     )
     reason = (
@@ -85,6 +86,8 @@ def key_lines(lines: DataFrame) -> DataFrame:
         F.coalesce("canonical", "value").alias("raw"),
         event_hash(F.col("canonical")).alias("event_hash"),
         F.when(good, F.to_date("stamp")).alias("event_date"),
+        F.when(good, F.col("stamp")).alias("event_timestamp"),
+        F.when(good, F.coalesce("team_id", F.lit(DEFAULT_TEAM))).alias("team_id"),
         reason.alias("reject_reason"),
         *rest,
     )
@@ -113,7 +116,12 @@ def with_defaults(events: DataFrame) -> DataFrame:
 
 
 def typed_events(raw: DataFrame) -> DataFrame:
-    """Typed and defaulted columns of keyed lines (``raw``, ``event_hash``)."""
+    """Typed and defaulted columns of keyed lines (``raw``, ``event_hash``).
+
+    A day, time and team that the lines carry are taken over, so the order of
+    the rows by them is still known.
+    """
+    carried = {name: F.col(name) for name in ("event_timestamp", "team_id", "event_date") if name in raw.columns}
 
     def cast(path: str, kind: str, name: str) -> Column:
         return F.col(f"doc.{path}").try_cast(kind).alias(name)
@@ -121,10 +129,10 @@ def typed_events(raw: DataFrame) -> DataFrame:
     typed = raw.withColumn("doc", F.from_json("raw", _EVENT)).select(
         "event_hash",
         "doc.event_type",
-        event_time(F.col("doc.timestamp")).alias("event_timestamp"),
+        carried.get("event_timestamp", event_time(F.col("doc.timestamp"))).alias("event_timestamp"),
         F.current_timestamp().alias("received_at"),
         "doc.user_id",
-        "doc.team_id",
+        carried.get("team_id", F.col("doc.team_id")).alias("team_id"),
         "doc.session_id",
         F.col("doc.project").alias("project_name"),
         "doc.tool_name",
@@ -140,8 +148,11 @@ def typed_events(raw: DataFrame) -> DataFrame:
         cast("is_usage_limit", "boolean", "is_usage_limit"),
         "doc.stop_reason",
         F.col("raw").alias("raw_data"),
+        carried.get("event_date", F.lit(None).cast("date")).alias("event_date"),
     )
-    typed = with_defaults(typed).withColumn("event_date", F.to_date("event_timestamp"))
+    typed = with_defaults(typed)
+    if "event_date" not in carried:
+        typed = typed.withColumn("event_date", F.to_date("event_timestamp"))
     return typed.select(*CLEAN_COLUMNS)
 
 

@@ -29,6 +29,21 @@ def usage_base(events: DataFrame, by_tool: bool = False) -> DataFrame:
     )
 
 
+def usage_rows(events: DataFrame) -> DataFrame:
+    """Every event as a by-tool base of its own, for ``merged_usage`` to add up."""
+
+    def once(condition: Column, name: str) -> Column:
+        return F.when(condition, 1).otherwise(0).cast("bigint").alias(name)
+
+    return events.select(
+        F.col("event_date").alias("summary_date"), "team_id", "user_id", "tool_name",
+        F.lit(1).cast("bigint").alias("total_events"),
+        *[once(condition, name) for name, condition in pick(_CONDITIONS).items()],
+        once(F.col("tool_success"), "success_count"), once(~F.col("tool_success"), "failure_count"),
+        F.col("event_timestamp").alias("last_active_at"),
+    )
+
+
 def merged_usage(parts: DataFrame) -> DataFrame:
     """Counters that lie in several parts of a by-tool base, added up per key."""
     return parts.groupBy("summary_date", "team_id", "user_id", "tool_name").agg(
@@ -82,9 +97,9 @@ def tool_summary(events: DataFrame) -> DataFrame:
     )
 
 
-def marts_from_base(base: DataFrame) -> dict[str, DataFrame]:
-    """All three marts of one by-tool base."""
-    users = users_from_base(base)
+def marts_from_base(base: DataFrame, users: DataFrame | None = None) -> dict[str, DataFrame]:
+    """All three marts of one by-tool base; ``users`` are its ``users_from_base``, if at hand."""
+    users = users_from_base(base) if users is None else users
     tools = (
         base.filter(F.col("tool_name").isNotNull())
         .groupBy("summary_date", "team_id", "tool_name")

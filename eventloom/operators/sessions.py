@@ -39,6 +39,26 @@ def session_days(events: DataFrame) -> DataFrame:
     )
 
 
+def session_rows(events: DataFrame) -> DataFrame:
+    """Every event as a session-day of its own, for ``merged_session_days`` to put together."""
+    reason = F.col("stop_reason")
+
+    def once(condition: Column) -> Column:
+        return F.when(condition, 1).otherwise(0)
+
+    return events.select(
+        *_KEY, "event_date",
+        F.col("event_timestamp").alias("session_start"),
+        F.col("event_timestamp").alias("session_end"),
+        F.lit(1).cast("bigint").alias("event_count"),
+        once(is_message()).cast("bigint").alias("message_count"),
+        once(has_tool()).cast("bigint").alias("tool_count"),
+        once(reason == "usage_limit").alias("is_limit"),
+        once(reason == "normal").alias("has_normal"),
+        once(reason > "normal").alias("has_greater"),
+    )
+
+
 def joined_days(days: DataFrame, *keys: str) -> DataFrame:
     """Session-days (or parts of one) put together per ``keys``."""
     return days.groupBy(*keys).agg(

@@ -21,7 +21,7 @@ from eventloom.sources.raw_logs import (
     read_raw,
     read_raw_in_order,
 )
-from eventloom.sources.tables import clustered, dates_of, settings
+from eventloom.sources.tables import block_bytes, clustered, dates_of, settings
 from eventloom.sources.testdata import AS_OF, DAYS, TEAM
 from eventloom.sources.transcripts import read_transcripts
 from eventloom.sources.workdir import fresh_folder
@@ -243,23 +243,46 @@ def export_json_lines(spark: SparkSession, sf: str) -> DataFrame:
     ).json(path).withColumnRenamed("seq", "event_id")
 
 
-# Small blocks, so that the bundled files have several.
-SMALL_BLOCKS = {"spark.sql.files.maxPartitionBytes": "16k", "spark.sql.files.openCostInBytes": "1k"}
+# Blocks of so many bytes at least, so that the bundled files have several, and
+# larger ones where a folder would have more blocks than this: every task of a
+# scan sends its result to the driver.
+LEAST_BLOCK = 16 << 10
+BLOCKS = 400
+
+
+def several_blocks(spark: SparkSession, folder: str) -> dict[str, str]:
+    """Settings that cut the files of a folder into several blocks, up to the size that a scan takes anyway."""
+    whole = list_files(spark, folder).agg(F.sum("size_bytes")).first()[0] or 0
+    block = min(block_bytes(spark), max(LEAST_BLOCK, -(-whole // BLOCKS)))
+    return {"spark.sql.files.maxPartitionBytes": str(block), "spark.sql.files.openCostInBytes": "1k"}
+
+
+def numbered_lines(back: DataFrame) -> DataFrame:
+    """Lines with their place (``read_raw_in_order``) and ``line_number``, from 1 over all files.
+
+    Blocks are numbered on their own; only their line counts are summed up over
+    all files, so no task sees more lines than a block has.
+    """
+    block = ["source_file", "block_start"]
+    before = Window.orderBy(*block).rowsBetween(Window.unboundedPreceding, -1)
+    blocks = back.groupBy(*block).agg(F.count(F.lit(1)).alias("lines")).select(
+        *block, F.coalesce(F.sum("lines").over(before), F.lit(0)).alias("before"))
+    inside = F.row_number().over(Window.partitionBy(*block).orderBy("line_place"))
+    return back.withColumn("inside", inside).join(blocks, block).withColumn(
+        "line_number", (F.col("before") + F.col("inside")).cast("int")).drop("before", "inside")
 
 
 def export_json_order(spark: SparkSession, sf: str) -> DataFrame:
     """Line number of every event in an export of files that are read in many blocks."""
     case, path = LoadCase(spark, "ordered"), fresh_folder(spark, "export")
     case.deliver_by_day(event_lines(spark, sf))
-    with settings(spark, SMALL_BLOCKS):
+    with settings(spark, several_blocks(spark, case.source)):
         exports.export_json(read_raw_in_order(spark, case.source), path)
-        back = read_raw_in_order(spark, path)
-        order = Window.orderBy("source_file", "block_start", "line_place")
-        numbered = back.select(
-            F.get_json_object("value", "$.seq").cast("bigint").alias("event_id"),
-            F.row_number().over(order).alias("line_number"))
+    with settings(spark, several_blocks(spark, path)):
+        seq = F.get_json_object("value", "$.seq").cast("bigint").alias("event_id")
+        back = read_raw_in_order(spark, path).select(seq, "source_file", "block_start", "line_place")
         folder = fresh_folder(spark, "numbers")
-        numbered.write.parquet(folder)
+        numbered_lines(back).select("event_id", "line_number").write.parquet(folder)
     return spark.read.schema("event_id BIGINT, line_number INT").parquet(folder)
 
 
@@ -271,7 +294,7 @@ def stop_reason_files(spark: SparkSession, sf: str) -> DataFrame:
         .sortWithinPartitions("file", "doc_id", "pos").select("file", "value")
         .write.partitionBy("file").text(folder)
     )
-    with settings(spark, SMALL_BLOCKS):
+    with settings(spark, several_blocks(spark, folder)):
         # The first look covers less than thirty lines of most files.
         tails = read_transcripts(spark, folder, tail_bytes=512)
     number = F.regexp_extract("path", "file=(\\d+)", 1).cast("bigint").alias("file")

@@ -25,8 +25,8 @@ from pyspark.sql import functions as F
 
 from eventloom.operators.clean import key_lines, remap_users, split_bad, typed_events
 from eventloom.operators.distinct_users import new_numbers, user_days
-from eventloom.operators.marts import marts_from_base, merged_usage, usage_base
-from eventloom.operators.sessions import merged_session_days, session_days
+from eventloom.operators.marts import marts_from_base, merged_usage, usage_base, usage_rows, users_from_base
+from eventloom.operators.sessions import merged_session_days, session_days, session_rows
 from eventloom.plans.journal import Journal
 from eventloom.schema import (
     DAILY_SCHEMA,
@@ -59,25 +59,33 @@ _MARTS = {"daily_summary": DAILY_SCHEMA, "tool_summary": TOOL_SCHEMA, "user_summ
 # Up to so many hashes go into the scan of the stored events, where the hash
 # filters of row groups without any of them answer; the rows found are the same.
 POINT_HASHES = 1000
+# All hashes of a load are only compared if its first lines, so many, do not hold more.
+_FIRST_LINES = 4 * POINT_HASHES
 
 
 @dataclass(frozen=True)
 class DailyState:
-    """Partial aggregates per day that loads add to."""
+    """Partial aggregates per day that loads add to.
+
+    ``rows`` gives every event as a state row of its own, so that ``merge``
+    groups them together with stored rows, in one shuffle; ``build`` is the
+    state of events alone.
+    """
 
     name: str
     schema: object
     day: str
     total: str
     build: Callable[[DataFrame], DataFrame]
+    rows: Callable[[DataFrame], DataFrame]
     merge: Callable[[DataFrame], DataFrame]
 
 
 STATES = (
     DailyState("usage_days", USAGE_SCHEMA, "summary_date", "total_events",
-               lambda events: usage_base(events, by_tool=True), merged_usage),
+               lambda events: usage_base(events, by_tool=True), usage_rows, merged_usage),
     DailyState("session_days", SESSION_DAYS_SCHEMA, "event_date", "event_count",
-               session_days, merged_session_days),
+               session_days, session_rows, merged_session_days),
 )
 
 
@@ -155,21 +163,29 @@ class Warehouse:
 def insert_new(existing_keys: DataFrame, batch: DataFrame) -> DataFrame:
     """Keyed lines whose event the target does not hold, each hash once.
 
-    ``raw`` is a function of the hash, so any copy will do.  Copies combine in
-    the map tasks, a hash that fills much of a load sends one row from each,
-    and the text is shuffled once: grouping and anti join share the key.  Equal
-    hashes have equal dates, hence the date in it.
+    ``raw`` is a function of the hash, and time and team are ones of ``raw``, so
+    any copy will do.  Copies combine in the map tasks, a hash that fills much
+    of a load sends one row from each, and the text is shuffled once: grouping
+    and anti join share the key.  Equal hashes have equal dates, hence the date
+    in it.
     """
     keys = ["event_date", "event_hash"]
-    once = batch.select(*keys, "raw").groupBy(*keys).agg(F.first("raw").alias("raw"))
+    carried = [c for c in ("raw", "event_timestamp", "team_id") if c in batch.columns]
+    once = batch.select(*keys, *carried).groupBy(*keys).agg(*[F.first(c).alias(c) for c in carried])
     return once.join(existing_keys.select(*keys), keys, "left_anti")
 
 
 def known_keys(events: DataFrame, batch: DataFrame, dates: DataFrame) -> DataFrame:
     """(event_date, event_hash) of stored events on ``dates`` that a batch may repeat."""
     known = on_dates(events, dates, "event_date")
-    hashes = [r.event_hash for r in
-              batch.select("event_hash").distinct().limit(POINT_HASHES + 1).collect()]
+
+    def some_hashes(lines: DataFrame) -> list[str]:
+        return [r.event_hash for r in lines.distinct().limit(POINT_HASHES + 1).collect()]
+
+    # A load of many lines mostly shows by its first ones that it has too many hashes.
+    hashes = some_hashes(batch.select("event_hash").limit(_FIRST_LINES))
+    if len(hashes) <= POINT_HASHES:
+        hashes = some_hashes(batch.select("event_hash"))
     if len(hashes) <= POINT_HASHES:
         known = known.filter(F.col("event_hash").isin(hashes))
     return known.select("event_date", "event_hash")
@@ -227,9 +243,9 @@ def update_states(spark: SparkSession, warehouse: Warehouse, actions: DataFrame,
         if "merge" in wanted:
             inserted = events.filter(F.col("load_id") == load_id)
             parts += [on_dates(warehouse.state(spark, state), those("merge", state.day), state.day),
-                      state.build(on_dates(inserted, those("merge", "event_date"), "event_date"))]
+                      state.rows(on_dates(inserted, those("merge", "event_date"), "event_date"))]
         if "rebuild" in wanted:
-            parts.append(state.build(on_dates(events, those("rebuild", "event_date"), "event_date")))
+            parts.append(state.rows(on_dates(events, those("rebuild", "event_date"), "event_date")))
         if parts:
             columns = state.schema.fieldNames()
             whole = reduce(DataFrame.unionByName, [p.select(*columns) for p in parts])
@@ -244,13 +260,15 @@ def write_marts(spark: SparkSession, warehouse: Warehouse, dates: DataFrame | No
     base = warehouse.usage_days(spark)
     if dates is not None:
         base = on_dates(base, dates.withColumnRenamed("event_date", "summary_date"), "summary_date")
-    marts = marts_from_base(base)
+    # Three of the four tables below come from the users of a day.
+    users = stored(users_from_base(base), "users")
+    marts = marts_from_base(base, users)
 
     def write(name: str) -> None:
         write_mart(marts[name], warehouse.mart_path(name))
 
     def write_bits() -> None:
-        numbers = stored(new_numbers(base, warehouse.user_numbers(spark)), "numbers")
+        numbers = stored(new_numbers(users, warehouse.user_numbers(spark)), "numbers")
         if not numbers.isEmpty():
             numbers.write.mode("append").parquet(warehouse.mart_path("user_numbers"))
         write_days(user_days(marts["user_summary"], warehouse.user_numbers(spark)),
@@ -307,9 +325,12 @@ def load_lines(lines: DataFrame, warehouse: Warehouse, load_id: str, strict: boo
         dates, rows = per_date.select("event_date"), per_date.agg(F.sum("n")).first()[0] or 0
         if rows:
             known = known_keys(warehouse.events(spark), good, dates)
-            fresh_events = typed_events(insert_new(known, good))
-            write_events(fresh_events.withColumn("load_id", F.lit(load_id)).select(
-                *EVENTS_SCHEMA.fieldNames()), warehouse.events_path, rows)
+
+            def finish(placed: DataFrame) -> DataFrame:
+                return typed_events(placed).withColumn("load_id", F.lit(load_id)).select(
+                    *EVENTS_SCHEMA.fieldNames())
+
+            write_events(insert_new(known, good), warehouse.events_path, rows, finish)
         _write_ledger(warehouse, load, load_id, files)
     done = [("raw", "done", None), ("events", "done", None)]
     if not rows:

@@ -13,6 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from eventloom.plans.pipeline import Warehouse, load_lines
 from eventloom.sources.raw_logs import read_raw_stream
+from eventloom.sources.tables import line_blocks
 
 
 def _load_id(batch: DataFrame, batch_id: int) -> str:
@@ -48,6 +49,8 @@ def ingest_stream(spark: SparkSession, source: str, warehouse: Warehouse, checkp
                   glob: str | None = None, max_files: int | None = None) -> int:
     """Load all new files, wait for the end, and return the batches run."""
     loaded: list[int] = []
-    query = start_ingest(spark, source, warehouse, checkpoint, glob, max_files, loaded=loaded)
-    query.awaitTermination()
+    # A stream takes its scans' block size from the session that it was started in.
+    with line_blocks(spark):
+        query = start_ingest(spark, source, warehouse, checkpoint, glob, max_files, loaded=loaded)
+        query.awaitTermination()
     return len(set(loaded))
