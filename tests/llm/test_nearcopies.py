@@ -56,3 +56,12 @@ def test_odd_rows(docs, rows, odd, none):
     ids = [r.doc_id for r in out.collect()]
     assert out.columns == odd.columns and ids.count(None) == 2 and ids.count(0) == 1
     assert nearcopies.keep_first(none).count() == 0
+
+
+def test_stage_drops_copies_that_the_line_stage_leaves(spark):
+    words = [f"w{k}" for k in range(120)]
+    broken = ["\n".join(" ".join(words[i:i + n]) for i in range(0, 120, n)) for n in (12, 40)]
+    rows = [*enumerate(broken), (2, "another text of its own")]
+    docs = corpus_pipeline.line_stage(spark, spark.createDataFrame(rows, "doc_id long, text string"), "")
+    assert {r.doc_id: r.text for r in docs.collect()} == dict(rows)
+    assert sorted(r.doc_id for r in corpus_pipeline.simhash_stage(spark, docs, "").collect()) == [0, 2]
