@@ -144,12 +144,22 @@ def permuted_common_prefixes(text: np.ndarray, array: np.ndarray, most: int) ->
     before = np.full(n, -1, dtype=np.int64)
     before[array[1:]] = array[:-1]
     shared = np.zeros(n, dtype=np.int64)
-    padded = np.concatenate([text.astype(np.int32) + 1, np.zeros(most + 1, dtype=np.int32)])
+    # As many symbols as fit are compared at once; a symbol past the end equals none.
+    bits = int(text.max(initial=0) + 1).bit_length()
+    per = min(most, max(1, 63 // bits)) if most else 1
+    padded = np.zeros(n + most + 2 * per, dtype=np.int64)
+    padded[:n] = text.astype(np.int64) + 1
+    packed = padded[:n + most + per].copy()
+    for k in range(1, per):
+        packed |= padded[k:k + len(packed)] << (bits * k)
     at = np.flatnonzero(before >= 0)
-    for step in range(most):
-        at = at[padded[at + step] == padded[before[at] + step]]
-        at = at[(at + step < n) & (before[at] + step < n)]
+    for step in range(0, most, per):
+        apart = packed[at + step] ^ packed[before[at] + step]
+        ends = apart != 0
+        lowest = apart[ends] & -apart[ends]
+        shared[at[ends]] = step + np.log2(lowest).astype(np.int64) // bits
+        at = at[~ends]
         if not at.size:
             break
-        shared[at] += 1
-    return shared
+    shared[at] = most
+    return np.minimum(shared, most)

@@ -76,6 +76,31 @@ def test_suffix_array_and_prefixes(symbols):
             assert shared[a] == n
 
 
+def test_common_prefixes_compare_many_symbols_at_once(monkeypatch):
+    """Two long equal halves: about as many steps as words of symbols, not as symbols."""
+    half = np.random.default_rng(4).integers(0, 256, 500).astype(np.uint16)
+    text = np.concatenate([half, [256], half, [257]]).astype(np.uint16)
+    order = suffix_array(text)
+    steps = []
+
+    class Places(np.ndarray):
+        def __getitem__(self, key):
+            if isinstance(key, np.ndarray) and key.dtype == bool:
+                steps.append(1)
+            return super().__getitem__(key)
+
+    plain = np.flatnonzero
+    monkeypatch.setattr(np, "flatnonzero", lambda a: plain(a).view(Places))
+    shared = permuted_common_prefixes(text, order, 100)
+    before = dict(zip(order[1:].tolist(), order[:-1].tolist()))
+    for at, other in before.items():
+        least = 0
+        while least < 100 and max(at, other) + least < len(text) and text[at + least] == text[other + least]:
+            least += 1
+        assert shared[at] == least
+    assert len(steps) <= 45
+
+
 def test_passages_match_brute_force(docs, rows):
     got = {r[0]: tuple(r[1:]) for r in passages.removal_report(docs).collect()}
     assert got == brute.removed(rows)
