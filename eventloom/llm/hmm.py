@@ -91,7 +91,8 @@ def token_blocks(docs: DataFrame, hold_out: int = HOLD_OUT) -> DataFrame:
     rows = texts(docs).withColumn("training", in_training(hold_out)).mapInArrow(
         _block_batches,
         f"doc_ids array<{kind}>, training binary, sizes binary, tokens binary, words binary")
-    return store(rows.withColumn("block", F.monotonically_increasing_id()), "blocks")
+    # Numbers of a small local vocabulary: most of their bytes are zero.
+    return store(rows.withColumn("block", F.monotonically_increasing_id()), "blocks", "zstd")
 
 
 @dataclass

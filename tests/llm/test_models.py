@@ -208,3 +208,13 @@ def test_licenses_match_brute_force(spark, docs, rows, odd, none):
     assert licenses.scan_licenses(odd, shelf).count() >= 0
     assert licenses.scan_licenses(none, shelf).count() == 0
     assert licenses.scan_licenses(docs, shelf.limit(0)).count() == 0
+
+
+def test_token_blocks_take_less_disk_than_their_texts(spark):
+    rng = np.random.default_rng(6)
+    rows = [(k, " ".join(f"w{n}" for n in rng.integers(0, 300, 400))) for k in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    blocks = hmm.token_blocks(docs)
+    stored = sum(r.length for r in spark.read.format("binaryFile").load(blocks.stored_path).select("length").collect())
+    assert stored < 0.5 * sum(len(text) for _, text in rows)
+    assert sum(len(r.tokens) // 4 for r in blocks.collect()) == 400 * 400
