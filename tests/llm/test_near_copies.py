@@ -140,6 +140,37 @@ def test_lines_match_brute_force(docs, rows):
     assert got == brute.kept_lines(rows)
 
 
+def test_pairs_verified_in_several_parts_match_brute_force(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    whole = [sorted(rng.choice(24, 20, replace=False).tolist()) for _ in range(40)]
+    # Sketches that say nothing, so that the nearest candidate is any and mostly fails.
+    rows = [(k, (k, 0), keys, len(keys), 0, 0, 0) for k, keys in enumerate(whole)]
+    sets = spark.createDataFrame(
+        rows, "sig long, first struct<doc_id: long, line: int>, keys array<long>, n int, w0 long, w1 long, w2 long")
+    pairs = spark.createDataFrame([(a, b) for b in range(40) for a in range(b)], "a long, b long")
+    seen = []
+
+    def three(rest, _):
+        seen.append(rest.count())
+        return [(part, 3) for part in range(3)]
+
+    monkeypatch.setattr(lines, "_parts", three)
+    got = [r.sig for r in lines._repeats(pairs, sets, 0.8).collect()]
+    want = [b for b in range(40) if any(
+        5 * len({*whole[a]} & {*whole[b]}) >= 4 * len({*whole[a]} | {*whole[b]}) for a in range(b))]
+    assert sorted(got) == want
+    assert seen[0] > 100 and 0 < len(want) < 39
+
+
+def test_parts_follow_the_bytes_of_the_pairs(spark, monkeypatch):
+    rest = spark.range(1000).selectExpr("id a", "id b", "10 n")
+    sets = spark.range(50).selectExpr("id sig", "10 n")
+    assert lines._parts(rest, sets) == [(0, 1)]
+    monkeypatch.setattr(lines, "_PART_BYTES", 1)
+    assert lines._parts(rest, sets) == [(part, 10) for part in range(10)]
+    assert lines._parts(rest.limit(0), sets) == []
+
+
 def test_lines_taken_out_of_texts(docs, rows, odd, none):
     gone = brute.kept_lines(rows)
     out = {r.doc_id: r for r in lines.without_repeated_lines(docs).collect()}
