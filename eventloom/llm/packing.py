@@ -13,6 +13,7 @@ import struct
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -36,8 +37,13 @@ _PARTS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
 _WIDE = regex.compile(r"[^\x20-\x7e\n¡-įı-ɏ]")
 
 
+# Marks that often end a run of letters; the splitting leaves them apart from it.
+_ENDS = frozenset(",.;:!?")
+_SHORT = [struct.Struct(f"<{n}I").pack for n in range(32)]
+
+
 def _packed(ids: list[int]) -> bytes:
-    return struct.pack(f"<{len(ids)}I", *ids)
+    return _SHORT[len(ids)](*ids) if len(ids) < len(_SHORT) else struct.pack(f"<{len(ids)}I", *ids)
 
 
 def _byte_letters() -> dict[int, int]:
@@ -65,9 +71,12 @@ class ChunkEncoder(dict):
     def __missing__(self, run: str) -> bytes:
         if len(self) >= _MEMO:
             self.clear()
-        if run.isascii() and run.isalpha():
+        plain = run.isascii() or not _WIDE.search(run)
+        if plain and run.isalpha():
             packed = self.part(run.lower())
-        elif "<|" in run or _WIDE.search(run):
+        elif plain and run[-1:] in _ENDS and run[:-1].isalpha():
+            packed = self.part(run[:-1].lower()) + self.part(run[-1])
+        elif not plain or "<|" in run:
             packed = _packed(self.full.encode(run, add_special_tokens=False).ids)
         else:
             packed = b"".join(map(self.part, _PARTS.findall(run.lower())))
@@ -91,9 +100,15 @@ class ChunkEncoder(dict):
         return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
 
 
+@lru_cache(maxsize=1)
+def _encoder(path: str) -> ChunkEncoder:
+    """One encoder for all tasks of a worker, so that its vocabulary is read once and later tasks find known runs."""
+    return ChunkEncoder(path)
+
+
 def _piece_batches(path: str, size: int, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = ChunkEncoder(path)
+        encoder = _encoder(path)
         end = _packed([end_id])
         for batch in slices(batches):
             rows: list[tuple] = []

@@ -218,3 +218,13 @@ def test_token_blocks_take_less_disk_than_their_texts(spark):
     stored = sum(r.length for r in spark.read.format("binaryFile").load(blocks.stored_path).select("length").collect())
     assert stored < 0.5 * sum(len(text) for _, text in rows)
     assert sum(len(r.tokens) // 4 for r in blocks.collect()) == 400 * 400
+
+
+def test_runs_with_an_end_mark_and_one_encoder_per_worker():
+    assert packing._encoder(packing.TOKENIZER) is packing._encoder(packing.TOKENIZER)
+    encoder = packing.ChunkEncoder(packing.TOKENIZER)
+    runs = ["word,", "Word.", "WÖRTER!", "émile?", "a.b.", "x1,", "it's;", ",", ".,", "don't,", "ßé:", "日本,", "i̇.",
+            "ª.", "x‍,", "Ⱥ,", "<|x,", "ab&&&", ""]
+    for run in [*runs, " ".join(runs)]:
+        want = encoder.full.encode(run, add_special_tokens=False).ids
+        assert np.frombuffer(encoder.encode(run), "<u4").tolist() == want, run
