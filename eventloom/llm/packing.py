@@ -71,13 +71,14 @@ class ChunkEncoder(dict):
     def __missing__(self, run: str) -> bytes:
         if len(self) >= _MEMO:
             self.clear()
-        plain = run.isascii() or not _WIDE.search(run)
-        if plain and run.isalpha():
+        if run.isascii() and run.isalpha():
             packed = self.part(run.lower())
-        elif plain and run[-1:] in _ENDS and run[:-1].isalpha():
-            packed = self.part(run[:-1].lower()) + self.part(run[-1])
-        elif not plain or "<|" in run:
+        elif "<|" in run or _WIDE.search(run):
             packed = _packed(self.full.encode(run, add_special_tokens=False).ids)
+        elif run.isalpha():
+            packed = self.part(run.lower())
+        elif run[-1:] in _ENDS and run[:-1].isalpha():
+            packed = self.part(run[:-1].lower()) + self.part(run[-1])
         else:
             packed = b"".join(map(self.part, _PARTS.findall(run.lower())))
         self[run] = packed
