@@ -13,7 +13,7 @@ def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
     return (
-        both.join(least, "u").filter("v > u AND v <> m")
+        both.hint("merge").join(least, "u").filter("v > u AND v <> m")
         .select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
     )
 
@@ -22,7 +22,7 @@ def _small_star(edges: DataFrame) -> DataFrame:
     """Every node and its lower neighbours move to the smallest of them."""
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
     least = down.groupBy("u").agg(F.min("v").alias("m"))
-    moved = down.join(least, "u").filter("v <> m").select(
+    moved = down.hint("merge").join(least, "u").filter("v <> m").select(
         F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.union(least.select("u", F.col("m").alias("v"))).distinct()
 
@@ -38,8 +38,8 @@ def components(edges: DataFrame, left: str, right: str) -> DataFrame:
 
     Two stars per round, each round stored; the rounds end when the edges stop
     changing, after about log(n) of them.  Minima combine before the shuffle
-    and the joins are left to skew splitting, so a node with very many edges
-    does not fill one task.  Edges with a null end and loops are ignored.
+    and the joins are merges, left to skew splitting, so a node with very many
+    edges fills neither one task nor, broadcast, the driver.  Edges with a null end and loops are ignored.
     """
     clean = edges.select(F.col(left).alias("u"), F.col(right).alias("v")).filter("u <> v")
     now = store(clean.distinct(), "edges")

@@ -149,7 +149,9 @@ def near_links(marks: DataFrame, radius: int = RADIUS) -> DataFrame:
 
     Buckets are counted first.  One with more than ``BLOCK`` members is cut
     into chunks and every pair of chunks is compared in a task of its own, so
-    no task holds an unbounded bucket and no pair is left out.
+    no task holds an unbounded bucket and no pair is left out.  Spark sizes the
+    rows of all masks as if there were one mask, so the join asks for a merge:
+    broadcast, they would fill the driver.
     """
     signed = [m - (1 << 64) if m >> 63 else m for m in covering_masks(radius)]
     keyed = marks.select(
@@ -160,7 +162,7 @@ def near_links(marks: DataFrame, radius: int = RADIUS) -> DataFrame:
     shared = keyed.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     chunks = F.ceil(F.col("n") / BLOCK).cast("int")
     blocks = (
-        keyed.join(shared, "bucket")
+        keyed.hint("merge").join(shared, "bucket")
         .withColumns({"chunks": chunks, "own": F.pmod(F.xxhash64("mark"), chunks)})
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
         .select(
@@ -190,9 +192,9 @@ def simhash_components(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     nodes = store(marks.groupBy("mark").agg(F.min("doc_id").alias("node")), "nodes")
     links = near_links(nodes.filter("node IS NOT NULL"), radius)
     roots = components(links, "u", "v")
-    named = nodes.join(roots, "node", "left").select(
+    named = nodes.hint("merge").join(roots, "node", "left").select(
         "mark", F.coalesce("root", "node").alias("component_id"))
-    return marks.join(named, "mark").select("doc_id", "mark", "component_id")
+    return marks.hint("merge").join(named, "mark").select("doc_id", "mark", "component_id")
 
 
 def keep_first(docs: DataFrame, radius: int = RADIUS) -> DataFrame:

@@ -1,6 +1,7 @@
 """SimHash components, line dedup, passages and fingerprints against brute force."""
 
 import hashlib
+import sys
 
 import brute
 import numpy as np
@@ -39,6 +40,21 @@ def test_large_buckets_are_cut_and_still_whole(spark, monkeypatch):
     assert {k: roots.get(k, k) for k in want} == want
 
 
+def test_no_join_sends_rows_of_all_documents_to_the_driver(spark, docs, monkeypatch):
+    # Spark takes the rows of 31 masks for those of one, so a table of any size could be broadcast.
+    plans = []
+    for module in (simhash, sys.modules[components.__module__]):
+        def seen(df, label, store=module.store):
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+            return store(df, label)
+
+        monkeypatch.setattr(module, "store", seen)
+    last = simhash.simhash_components(docs)
+    plans.append(last._jdf.queryExecution().executedPlan().toString())
+    assert sum("SortMergeJoin" in plan for plan in plans) >= 2
+    assert not [plan for plan in plans if "Broadcast" in plan]
+
+
 def test_keep_first_leaves_one_of_each_group(docs, odd, none):
     found = simhash.simhash_components(docs)
     kept = simhash.keep_first(docs)
