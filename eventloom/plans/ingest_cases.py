@@ -57,12 +57,15 @@ class LoadCase:
         self.checkpoint = f"{root}/checkpoint"
         self.warehouse = Warehouse(f"{root}/warehouse")
 
-    def deliver(self, lines: DataFrame) -> None:
-        """Add files with these lines, one folder per day, to the source."""
-        (
-            clustered(lines.select("value", "event_date"), "event_date").write.mode("append")
-            .partitionBy("event_date").text(self.source)
-        )
+    def deliver(self, lines: DataFrame, copies: int = 1) -> None:
+        """Add files with these lines, one folder per day, to the source.
+
+        Each line comes ``copies`` times in its file: it is repeated once it is in place.
+        """
+        placed = clustered(lines.select("value", "event_date"), "event_date")
+        if copies > 1:
+            placed = placed.select(F.explode(F.array_repeat("value", copies)).alias("value"), "event_date")
+        placed.write.mode("append").partitionBy("event_date").text(self.source)
 
     def deliver_by_day(self, lines: DataFrame) -> None:
         """Add one file per day, its lines in the order of their event ids."""
@@ -130,6 +133,7 @@ def ingest_quarantine(spark: SparkSession, sf: str) -> DataFrame:
 def ingest_dedup(spark: SparkSession, sf: str) -> DataFrame:
     """Copies in one file, in another file, with other key order, in a later load."""
     case = LoadCase(spark, "dedup")
+    case.deliver(event_lines(spark, sf), copies=2)
     case.deliver(event_lines(spark, sf))
     case.deliver(event_lines(spark, sf, reverse_keys=True))
     case.run()
