@@ -9,6 +9,7 @@ blocks, and its nearest neighbours vote with their cosine as weight.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -129,6 +130,14 @@ def _term_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             [pa.array(rows, pa.binary()), batch.column("quality")], ["terms", "quality"])
 
 
+def _packed_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Term rows compressed for their way to the driver, as most terms are zero."""
+    for batch in batches:
+        rows = [zlib.compress(row.as_buffer(), 1) for row in batch.column("terms")]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(rows, pa.binary()), batch.column("quality")], ["terms", "quality"])
+
+
 def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE,
           hold_out: int = HOLD_OUT) -> LatentModel:
     """Fit on at most ``sample`` labelled rows outside the held-out fold.
@@ -146,9 +155,12 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE,
     rows = (
         texts(docs).join(F.broadcast(chosen), "doc_id").select("text", "quality")
         .mapInArrow(_term_batches, "terms binary, quality int")
-        .orderBy("terms", "quality").limit(sample).toArrow()
+        .orderBy("terms", "quality").limit(sample)
+        .mapInArrow(_packed_batches, "terms binary, quality int").toArrow()
     )
-    terms = np.frombuffer(b"".join(rows.column("terms").to_pylist()), dtype=np.float32)
+    terms = np.empty((rows.num_rows, TERMS), dtype=np.float32)
+    for at, packed in enumerate(rows.column("terms")):
+        terms[at] = np.frombuffer(zlib.decompress(packed.as_buffer()), dtype=np.float32)
     return fit_latent(terms, rows.column("quality").to_numpy())
 
 

@@ -5,6 +5,7 @@ from collections import defaultdict
 
 import brute
 import numpy as np
+import pyarrow as pa
 import pytest
 import sentencepiece
 from tokenizers import Tokenizer
@@ -117,6 +118,22 @@ def test_wide_integers_stay_exact():
     assert best == [(2**60 + 3, 3), (2**60 + 2, 2)]
 
 
+def test_labelled_rows_reach_the_driver_small_and_unchanged(spark, docs, rows, monkeypatch):
+    labels = spark.createDataFrame([(d, d % 2) for d, _ in rows], "doc_id long, quality int")
+    sent, fitted, pack, fit = [], [], quality._packed_batches, quality.fit_latent
+    monkeypatch.setattr(quality, "fit_latent", lambda terms, marks: fitted.append((terms, marks)) or fit(terms, marks))
+    quality.learn(docs, labels)
+    used = [(quality.term_vector((t or "").encode()).tobytes(), d % 2) for d, t in rows
+            if zlib.crc32(str(d).encode()) % quality.HOLD_OUT]
+    terms, marks = fitted[0]
+    assert [(t.tobytes(), int(q)) for t, q in zip(terms, marks)] == sorted(used)
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array([t for t, _ in used], pa.binary()), pa.array([q for _, q in used], pa.int32())], ["terms", "quality"])
+    for out in pack(iter([batch])):
+        sent += out.column("terms").to_pylist()
+    assert 4 * sum(map(len, sent)) < sum(len(t) for t, _ in used)
+
+
 def test_classifier_learns_and_handles_odd_rows(spark, docs, odd, none):
     good = [(2 * k, f"plain sentences about {k} things and their names, told calmly.", 1) for k in range(80)]
     bad = [(2 * k + 1, "BUY!! NOW!! FREE!! " * (3 + k % 5), 0) for k in range(80)]
