@@ -39,7 +39,7 @@ def components(edges: DataFrame, left: str, right: str) -> DataFrame:
     Two stars per round, each round stored; the rounds end when the edges stop
     changing, after about log(n) of them.  Minima combine before the shuffle
     and the joins are merges, left to skew splitting, so a node with very many
-    edges fills neither one task nor, broadcast, the driver.  Edges with a null end and loops are ignored.
+    edges does not fill one task, and no table of edges, broadcast, the driver.  Edges with a null end and loops are ignored.
     """
     clean = edges.select(F.col(left).alias("u"), F.col(right).alias("v")).filter("u <> v")
     now = store(clean.distinct(), "edges")
